@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-MODULES = ["rfm", "shipping", "sales", "courier"]
+MODULES = ["groups", "geo", "campaign"]
 
 
 class Tables:
