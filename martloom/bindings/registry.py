@@ -15,7 +15,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-MODULES = ["groups", "geo", "campaign"]
+MODULES = [
+    "rfm",
+    "shipping",
+    "sales",
+    "courier",
+    "groups",
+    "geo",
+    "campaign",
+    "orders",
+    "currency",
+    "quality",
+    "storage",
+    "streams",
+]
 
 
 class Tables:
