@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.bindings.registry import Tables, plain, query
@@ -27,8 +27,10 @@ matched as (
 """
 
 
-def messages(t: Tables) -> DataFrame:
+def messages(t: Tables, end: Column | None = None) -> DataFrame:
+    """Campaign JSON; ``end`` overrides the end where it is not NULL."""
     start = F.unix_timestamp("o_orderdate")
+    usual = start + 90 * 86400
     body = F.to_json(
         F.struct(
             F.col("o_custkey").cast("string").alias("restaurant_id"),
@@ -37,7 +39,7 @@ def messages(t: Tables) -> DataFrame:
             F.concat(F.lit("owner"), "o_custkey").alias("adv_campaign_owner"),
             F.col("o_orderstatus").alias("adv_campaign_owner_contact"),
             start.alias("adv_campaign_datetime_start"),
-            (start + 90 * 86400).alias("adv_campaign_datetime_end"),
+            (usual if end is None else F.coalesce(end, usual)).alias("adv_campaign_datetime_end"),
             (start - 100).alias("datetime_created"),
         )
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.keys import hash_diff, uuid3_key
+from martloom.functions.keys import joined_text, uuid3_key
 from martloom.operators.loads import upsert, with_literals
 from martloom.operators.ranking import latest_per_key
 
@@ -26,37 +27,78 @@ DOWNSTREAM_TYPE = "cdm_message"
 SOURCE = "orders_kafka"
 CLOSED = "CLOSED"
 
-# Conflict key of each vault table, then its other columns.
-VAULT_TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
-    "h_user": ("h_user_pk", ("user_id",)),
-    "h_product": ("h_product_pk", ("product_id",)),
-    "h_category": ("h_category_pk", ("category_name",)),
-    "h_restaurant": ("h_restaurant_pk", ("restaurant_id",)),
-    "h_order": ("h_order_pk", ("order_id", "order_dt")),
-    "l_order_product": ("hk_order_product_pk", ("h_order_pk", "h_product_pk")),
-    "l_product_restaurant": ("hk_product_restaurant_pk", ("h_product_pk", "h_restaurant_pk")),
-    "l_product_category": ("hk_product_category_pk", ("h_product_pk", "h_category_pk")),
-    "l_order_user": ("hk_order_user_pk", ("h_order_pk", "h_user_pk")),
-    "s_user_names": ("hk_user_names_hashdiff", ("h_user_pk", "username", "userlogin")),
-    "s_product_names": ("hk_product_names_hashdiff", ("h_product_pk", "product_name")),
-    "s_restaurant_names": ("hk_restaurant_names_hashdiff", ("h_restaurant_pk", "restaurant_name")),
-    "s_order_cost": ("hk_order_cost_hashdiff", ("h_order_pk", "cost", "payment")),
-    "s_order_status": ("hk_order_status_hashdiff", ("h_order_pk", "status")),
-}
-PRODUCT_TABLES = {
-    "h_product",
-    "h_category",
-    "l_order_product",
-    "l_product_restaurant",
-    "l_product_category",
-    "s_product_names",
+
+class VaultTable(NamedTuple):
+    """Shape of a vault table.
+
+    ``name`` are the message columns whose joined text the key is made of; a link is keyed by
+    its ``parents`` instead, which map a stored hub key to the message column behind it.
+    ``stored`` are message columns kept as they are, ``per_product`` tells whether the table
+    needs the product lines.
+    """
+
+    pk: str
+    name: tuple[str, ...]
+    stored: tuple[str, ...]
+    parents: dict[str, str]
+    per_product: bool = False
+
+    @property
+    def inputs(self) -> list[str]:
+        return list(dict.fromkeys([*self.name, *self.stored, *self.parents.values()]))
+
+    @property
+    def required(self) -> list[str]:
+        return list(self.name) or list(self.parents.values())
+
+    @property
+    def versioned(self) -> bool:
+        """Whether several different rows can share one key."""
+        return len(self.inputs) > 1 and bool(self.name)
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.pk, *self.parents, *self.stored]
+
+
+USER = {"h_user_pk": "user_id"}
+PRODUCT = {"h_product_pk": "product_id"}
+CATEGORY = {"h_category_pk": "category_name"}
+RESTAURANT = {"h_restaurant_pk": "restaurant_id"}
+ORDER = {"h_order_pk": "order_id"}
+
+VAULT_TABLES = {
+    "h_user": VaultTable("h_user_pk", ("user_id",), ("user_id",), {}),
+    "h_product": VaultTable("h_product_pk", ("product_id",), ("product_id",), {}, True),
+    "h_category": VaultTable("h_category_pk", ("category_name",), ("category_name",), {}, True),
+    "h_restaurant": VaultTable("h_restaurant_pk", ("restaurant_id",), ("restaurant_id",), {}),
+    "h_order": VaultTable("h_order_pk", ("order_id",), ("order_id", "order_dt"), {}),
+    "l_order_product": VaultTable("hk_order_product_pk", (), (), {**ORDER, **PRODUCT}, True),
+    "l_product_restaurant": VaultTable("hk_product_restaurant_pk", (), (), {**PRODUCT, **RESTAURANT}, True),
+    "l_product_category": VaultTable("hk_product_category_pk", (), (), {**PRODUCT, **CATEGORY}, True),
+    "l_order_user": VaultTable("hk_order_user_pk", (), (), {**ORDER, **USER}),
+    "s_user_names": VaultTable(
+        "hk_user_names_hashdiff", ("user_id", "username", "userlogin"), ("username", "userlogin"), USER
+    ),
+    "s_product_names": VaultTable(
+        "hk_product_names_hashdiff", ("product_id", "product_name"), ("product_name",), PRODUCT, True
+    ),
+    "s_restaurant_names": VaultTable(
+        "hk_restaurant_names_hashdiff", ("restaurant_id", "restaurant_name"), ("restaurant_name",), RESTAURANT
+    ),
+    "s_order_cost": VaultTable("hk_order_cost_hashdiff", ("order_id", "cost", "payment"), ("cost", "payment"), ORDER),
+    "s_order_status": VaultTable("hk_order_status_hashdiff", ("order_id", "status"), ("status",), ORDER),
 }
 
 
 def parse_messages(raw: DataFrame, *keep: str) -> DataFrame:
-    """Typed messages from the JSON in ``value``; ``keep`` columns ride along (offset, time)."""
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).alias("message"), *keep)
-    return parsed.select("message.*", *keep)
+    """Typed messages from the JSON in ``value``; ``keep`` columns ride along (offset, time).
+
+    ``inline`` fixes the place of the parse: later filters stay above it and no message is
+    parsed once per filtered field.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA)
+    return raw.select(F.inline(F.array(parsed)), *keep)
 
 
 def order_messages(messages: DataFrame) -> DataFrame:
@@ -65,9 +107,9 @@ def order_messages(messages: DataFrame) -> DataFrame:
 
 
 def order_rows(messages: DataFrame, *keep: str) -> DataFrame:
-    """One row per order message with all order-level keys."""
+    """One flat row per order message, its products still in one array."""
     p = F.col("payload")
-    flat = order_messages(messages).select(
+    return order_messages(messages).select(
         p["id"].alias("order_id"),
         p["date"].alias("order_dt"),
         p["cost"].alias("cost"),
@@ -81,48 +123,17 @@ def order_rows(messages: DataFrame, *keep: str) -> DataFrame:
         p["products"].alias("products"),
         *keep,
     )
-    return flat.withColumns(
-        {
-            "h_order_pk": uuid3_key("order_id"),
-            "h_user_pk": uuid3_key("user_id"),
-            "h_restaurant_pk": uuid3_key("restaurant_id"),
-        }
-    )
 
 
 def product_rows(orders: DataFrame) -> DataFrame:
     """One row per product line of an order; ``line`` is its place in the message."""
     lines = orders.select("*", F.posexplode("products").alias("line", "_product")).drop("products")
-    return (
-        lines.withColumn("product_id", F.col("_product.id"))
-        .withColumn("product_name", F.col("_product.name"))
-        .withColumn("category_name", F.col("_product.category"))
-        .drop("_product")
-        .withColumns({"h_product_pk": uuid3_key("product_id"), "h_category_pk": uuid3_key("category_name")})
-    )
-
-
-# How each link key and satellite change key is built.
-DERIVED_KEYS: dict[str, Callable[[], Column]] = {
-    "hk_order_product_pk": lambda: uuid3_key("h_order_pk", "h_product_pk"),
-    "hk_product_restaurant_pk": lambda: uuid3_key("h_product_pk", "h_restaurant_pk"),
-    "hk_product_category_pk": lambda: uuid3_key("h_product_pk", "h_category_pk"),
-    "hk_order_user_pk": lambda: uuid3_key("h_order_pk", "h_user_pk"),
-    "hk_user_names_hashdiff": lambda: hash_diff("user_id", "username", "userlogin"),
-    "hk_product_names_hashdiff": lambda: hash_diff("product_id", "product_name"),
-    "hk_restaurant_names_hashdiff": lambda: hash_diff("restaurant_id", "restaurant_name"),
-    "hk_order_cost_hashdiff": lambda: hash_diff("order_id", "cost", "payment"),
-    "hk_order_status_hashdiff": lambda: hash_diff("order_id", "status"),
-}
-
-# Columns a derived key reads beside those its table stores.
-KEY_INPUTS = {
-    "s_user_names": ("user_id",),
-    "s_product_names": ("product_id",),
-    "s_restaurant_names": ("restaurant_id",),
-    "s_order_cost": ("order_id",),
-    "s_order_status": ("order_id",),
-}
+    return lines.select(
+        "*",
+        F.col("_product.id").alias("product_id"),
+        F.col("_product.name").alias("product_name"),
+        F.col("_product.category").alias("category_name"),
+    ).drop("_product")
 
 
 def vault_table(
@@ -130,27 +141,25 @@ def vault_table(
 ) -> DataFrame:
     """One of the fourteen vault tables: a row per conflict key, the last message wins.
 
-    Rows are reduced to distinct stored columns before keys are hashed, so a hot user or product
-    is hashed and shuffled about once per task. ``order_by`` names message columns (offset,
-    time) that settle which of several versions is last.
+    Rows are reduced to distinct short business columns first and hashed afterwards, so a hot
+    user or product costs about one row per task and the long keys are not shuffled for it.
+    ``order_by`` names message columns (offset, time) that settle which version is last.
     """
-    pk, columns = VAULT_TABLES[table]
+    spec = VAULT_TABLES[table]
     rows = order_rows(messages, *order_by)
-    if table in PRODUCT_TABLES:
+    if spec.per_product:
         rows = product_rows(rows)
-    inputs = dict.fromkeys([*KEY_INPUTS.get(table, ()), *columns])
-    if pk in rows.columns:
-        inputs = {pk: None, **inputs}
-    slim = rows.select(*inputs, *order_by)
-    if order_by:
-        slim = slim.groupBy(*inputs).agg(*[F.max(c).alias(c) for c in order_by])
+    rows = rows.dropna(subset=spec.required)
+    if spec.versioned and order_by:
+        rows = rows.groupBy(*spec.inputs).agg(*[F.max(c).alias(c) for c in order_by])
     else:
-        slim = slim.distinct()
-    if pk in DERIVED_KEYS:
-        slim = slim.withColumn(pk, DERIVED_KEYS[pk]())
-    slim = slim.where(F.col(pk).isNotNull())
-    last = latest_per_key(slim, [pk], [*order_by, *columns]).select(pk, *columns)
-    return with_literals(last, load_dt=load_dt, load_src=source)
+        rows = rows.select(*spec.inputs).distinct()
+    if spec.versioned:
+        rank_by = [*(order_by if order_by else ()), *spec.inputs]
+        rows = latest_per_key(rows, [joined_text(*spec.name)], rank_by)
+    rows = rows.withColumns({hub: uuid3_key(business) for hub, business in spec.parents.items()})
+    name = spec.name or tuple(spec.parents)
+    return with_literals(rows.withColumn(spec.pk, uuid3_key(*name)).select(*spec.columns), load_dt=load_dt, load_src=source)
 
 
 def order_vault(
@@ -168,22 +177,22 @@ def merge_vault_table(
     The last load refreshes the other columns. A satellite keeps the parent key it was first stored
     with, and ``first_seen`` keeps the first load time and source too.
     """
-    pk, _ = VAULT_TABLES[table]
+    spec = VAULT_TABLES[table]
     keep = ["load_dt", "load_src"] if first_seen else []
     if table.startswith("s_"):
-        keep.append(VAULT_TABLES[table][1][0])
-    return upsert(existing, incoming, [pk], ["load_dt"], keep_first=keep)
+        keep.extend(spec.parents)
+    return upsert(existing, incoming, [spec.pk], ["load_dt"], keep_first=keep)
 
 
 def closed_order_items(messages: DataFrame, *keep: str, closed: str = CLOSED) -> DataFrame:
     """One row per product line of a closed order, with the keys the counters use."""
     orders = order_rows(messages, *keep).where(F.col("status") == closed)
     return product_rows(orders).select(
-        F.col("h_order_pk").alias("order_id"),
-        F.col("h_user_pk").alias("user_id"),
-        F.col("h_product_pk").alias("product_id"),
+        uuid3_key("order_id").alias("order_id"),
+        uuid3_key("user_id").alias("user_id"),
+        uuid3_key("product_id").alias("product_id"),
         "product_name",
-        F.col("h_category_pk").alias("category_id"),
+        uuid3_key("category_name").alias("category_id"),
         "category_name",
         "line",
         *keep,
