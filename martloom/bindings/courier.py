@@ -35,7 +35,7 @@ def stg_deliveries(t: Tables) -> DataFrame:
         money("o_totalprice").alias("sum"),
         money(F.floor("o_totalprice") / 100).alias("tip_sum"),
     )
-    return t.orders.select(F.col("o_orderkey").alias("id"), F.to_json(doc).alias("object_value"))
+    return t.spread(t.orders).select(F.col("o_orderkey").alias("id"), F.to_json(doc).alias("object_value"))
 
 
 def couriers(t: Tables) -> DataFrame:

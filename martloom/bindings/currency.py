@@ -85,8 +85,8 @@ def hub_cur(t: Tables) -> DataFrame:
     return currency.hub_currencies(currencies(t), None, None, LOAD_DT, SOURCE)
 
 
-def link(t: Tables) -> DataFrame:
-    return currency.link_transaction_currency(transactions(t), hub_tx(t), hub_cur(t), None, None, LOAD_DT, SOURCE)
+def link(t: Tables, operations: DataFrame, versions: DataFrame) -> DataFrame:
+    return currency.link_transaction_currency(transactions(t), operations, versions, None, None, LOAD_DT, SOURCE)
 
 
 @query("hub_transactions", VAULT_SQL + f"select h_transaction_pk, operation_id, {STAMP} from h_tx")
@@ -131,7 +131,7 @@ def hub_currencies(t: Tables) -> DataFrame:
           from valid v join h_cur c on v.currency_code = c.currency_code and v.transaction_dt = c.date_update""",
 )
 def link_query(t: Tables) -> DataFrame:
-    return plain(link(t))
+    return plain(link(t, hub_tx(t), hub_cur(t)))
 
 
 @query(
@@ -182,15 +182,16 @@ from (select d, currency_code, operation_id, account_number_from, min(amount) as
 
 
 def metrics(t: Tables, day: str | None) -> DataFrame:
-    tx, hub = transactions(t), hub_tx(t)
+    tx = transactions(t)
+    operations, versions = t.stored(hub_tx(t), "hub_tx"), t.stored(hub_cur(t), "hub_cur")
     return currency.daily_currency_metrics(
-        hub,
-        hub_cur(t),
-        link(t),
-        currency.sat_rates(currencies(t), hub_cur(t), None, LOAD_DT, SOURCE),
-        currency.sat_send_info(tx, hub, None, LOAD_DT, SOURCE),
-        currency.sat_amount(tx, hub, None, LOAD_DT, SOURCE),
-        currency.sat_status(tx, hub, None, LOAD_DT, SOURCE),
+        operations,
+        versions,
+        link(t, operations, versions),
+        currency.sat_rates(currencies(t), versions, None, LOAD_DT, SOURCE),
+        currency.sat_send_info(tx, operations, None, LOAD_DT, SOURCE),
+        currency.sat_amount(tx, operations, None, LOAD_DT, SOURCE),
+        currency.sat_status(tx, operations, None, LOAD_DT, SOURCE),
         day,
         excluded_type=EXCLUDED,
     )

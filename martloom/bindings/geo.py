@@ -75,7 +75,7 @@ def places(t: Tables) -> DataFrame:
 def wide_events(t: Tables) -> DataFrame:
     """Events over a wide box; every tenth has no latitude."""
     key = F.col("event_id")
-    return t.events.select(
+    return t.spread(t.events.select("event_id", "user_id", "event_type", "ts")).select(
         "event_id",
         "user_id",
         "event_type",
@@ -89,7 +89,7 @@ def wide_events(t: Tables) -> DataFrame:
 def stay_events(t: Tables) -> DataFrame:
     """Events a little beside one of three places."""
     key = F.col("event_id") % 3
-    return t.events.select(
+    return t.spread(t.events.select("event_id", "user_id", "ts")).select(
         "event_id",
         "user_id",
         "ts",

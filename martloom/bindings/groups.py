@@ -73,8 +73,8 @@ def link(t: Tables) -> DataFrame:
     return groups.group_link(group_log(t), h_users(t), h_groups(t), LOAD_DT, SOURCE)
 
 
-def history(t: Tables) -> DataFrame:
-    return groups.group_history(group_log(t), h_users(t), h_groups(t), link(t), LOAD_DT, SOURCE)
+def history(t: Tables, held: DataFrame) -> DataFrame:
+    return groups.group_history(group_log(t), h_users(t), h_groups(t), held, LOAD_DT, SOURCE)
 
 
 def messages(t: Tables, key: str | Column, name: str) -> DataFrame:
@@ -109,7 +109,7 @@ def group_link_hash64(t: Tables) -> DataFrame:
          '2024-02-01 00:00:00.000000' as load_dt, 's3' as load_src from log""",
 )
 def group_history(t: Tables) -> DataFrame:
-    return plain(history(t))
+    return plain(history(t, link(t)))
 
 
 @query(
@@ -123,7 +123,8 @@ def messages_bottom10(t: Tables) -> DataFrame:
 
 @query("group_added_early10", VAULT_SQL + "select * from added order by cnt_added_users, hk_group_id limit 10")
 def added_early10(t: Tables) -> DataFrame:
-    return plain(groups.users_added_to_early_groups(link(t), history(t), h_groups(t)))
+    held = t.stored(link(t), "link")
+    return plain(groups.users_added_to_early_groups(held, history(t, held), h_groups(t)))
 
 
 @query(
@@ -135,4 +136,5 @@ def added_early10(t: Tables) -> DataFrame:
 )
 def group_conversion(t: Tables) -> DataFrame:
     wrote, held = messages(t, "user_id", "hk_user_id"), messages(t, "group_id", "hk_group_id")
-    return plain(groups.group_conversion(link(t), history(t), h_groups(t), wrote, held))
+    members = t.stored(link(t), "link")
+    return plain(groups.group_conversion(members, history(t, members), h_groups(t), wrote, held))

@@ -42,7 +42,7 @@ STAMP = "'2024-02-01 00:00:00.000000' as load_dt, 'orders_kafka' as load_src"
 def raw_messages(t: Tables) -> DataFrame:
     """JSON messages; lines with return flag N are of another type, which the vault skips."""
     heads = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    items = t.spread(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+    items = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         t.part, F.col("l_partkey") == F.col("p_partkey")
     )
     user = F.struct(
@@ -69,7 +69,7 @@ def raw_messages(t: Tables) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", "user").otherwise("order").alias("object_type"),
         payload.alias("payload"),
     )
-    return items.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(F.to_json(body).alias("value"))
+    return items.join(heads.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.to_json(body).alias("value"))
 
 
 def messages(t: Tables) -> DataFrame:

@@ -51,6 +51,13 @@ class Tables:
         return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """A table that later steps read several times, written once as a pipeline would."""
+        path = scratch_folder(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     """Register a function of the tables under a name, with its SQL where there is one."""
 

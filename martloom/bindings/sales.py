@@ -32,7 +32,7 @@ NEW_SINCE = dt.datetime(1996, 1, 1)
 def staging(t: Tables) -> DataFrame:
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("uniq_id"),
         F.col("l_shipdate").alias("date_time"),
         F.col("c_nationkey").alias("city_id"),

@@ -102,7 +102,8 @@ def log(t: Tables) -> DataFrame:
         .otherwise("booked")
         .alias("state"),
     )
-    return states.join(orders, F.col("shipping_id") == F.col("o_orderkey")).drop("o_orderkey")
+    # Merged on the shipment, which is also what the marts group by.
+    return states.join(orders.hint("merge"), F.col("shipping_id") == F.col("o_orderkey")).drop("o_orderkey")
 
 
 @query(
@@ -143,14 +144,16 @@ def transfer(t: Tables) -> DataFrame:
          shipping_country_rate_id, shipping_agreement_id, shipping_transfer_id from info""",
 )
 def info(t: Tables) -> DataFrame:
-    rows = log(t)
-    return plain(
-        shipping.shipping_info(
-            rows,
-            shipping.shipping_country_rates(rows),
-            shipping.shipping_agreement(rows),
-            shipping.shipping_transfer(rows),
-        )
+    rows = t.stored(log(t), "shipping")
+    return plain(shipping.shipping_info(rows, *references(t, rows)))
+
+
+def references(t: Tables, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three stored reference tables: country rates, agreements, transfers."""
+    return (
+        t.stored(shipping.shipping_country_rates(rows), "rates"),
+        t.stored(shipping.shipping_agreement(rows), "agreements"),
+        t.stored(shipping.shipping_transfer(rows), "transfers"),
     )
 
 
@@ -184,9 +187,8 @@ def status(t: Tables) -> DataFrame:
     join agreements a on i.shipping_agreement_id = a.agreement_id join rates r on i.shipping_country_rate_id = r.id""",
 )
 def datamart(t: Tables) -> DataFrame:
-    rows = log(t)
-    rates, agreements = shipping.shipping_country_rates(rows), shipping.shipping_agreement(rows)
-    transfers = shipping.shipping_transfer(rows)
+    rows = t.stored(log(t), "shipping")
+    rates, agreements, transfers = references(t, rows)
     shipments = shipping.shipping_info(rows, rates, agreements, transfers)
     return plain(
         shipping.shipping_datamart(shipments, transfers, shipping.shipping_status(rows), agreements, rates, AS_OF)

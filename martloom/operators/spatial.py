@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.geo import EARTH_RADIUS_KM, earth_cell, haversine_km, touching_cells
+from martloom.functions.geo import (
+    EARTH_RADIUS_KM,
+    chord_squared,
+    earth_cell,
+    haversine_km,
+    touching_cells,
+    unit_vector,
+)
 from martloom.operators.lineage import cut_lineage, has_more_rows
 from martloom.operators.ranking import first_per_key
 
@@ -40,25 +47,26 @@ def assign_nearest(
 
 
 def _nearest_of_list(events: DataFrame, places: DataFrame) -> DataFrame:
-    table = places.agg(F.collect_list(F.struct("place_id", "city", "lat_city", "lng_city")).alias("places"))
-    best = F.array_min(
-        F.transform(
-            "_places",
-            lambda p: F.struct(
-                haversine_km("lat", "lon", p["lat_city"], p["lng_city"]).alias("distance"),
-                p["place_id"].alias("place_id"),
-                p["city"].alias("city"),
-            ),
-        )
+    """Nearest of a short list, found without trigonometry per place.
+
+    Event and places are points in space; the smallest squared chord is the nearest place and
+    only its distance is worked out. Equal distances go to the smaller ``place_id``.
+    """
+    listed = places.select("place_id", "city", "lat_city", "lng_city", unit_vector("lat_city", "lng_city").alias("point"))
+    table = listed.agg(
+        F.array_sort(F.collect_list(F.struct("place_id", "city", "lat_city", "lng_city", "point"))).alias("places")
     )
     known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    here = F.col("_here")
     return (
         events.withColumn("_places", table.scalar())
-        .withColumn("_best", F.when(known, best))
+        .withColumn("_here", F.when(known, unit_vector("lat", "lon")))
+        .withColumn("_chords", F.transform("_places", lambda p: chord_squared(here, p["point"])))
+        .withColumn("_best", F.get("_places", F.array_position("_chords", F.array_min("_chords")) - 1))
         .withColumn("place_id", F.col("_best.place_id"))
         .withColumn("city", F.col("_best.city"))
-        .withColumn("distance", F.col("_best.distance"))
-        .drop("_places", "_best")
+        .withColumn("distance", haversine_km("lat", "lon", "_best.lat_city", "_best.lng_city"))
+        .drop("_places", "_here", "_chords", "_best")
     )
 
 

@@ -53,13 +53,13 @@ def land_documents(existing: DataFrame, incoming: DataFrame, key_field: str, now
 def courier_dim_increment(stg: DataFrame, after_id: int, limit: int | None = None) -> DataFrame:
     """Couriers past the id mark, in id order when a page size is given."""
     page = increment(stg.select("id", "object_value"), "id", after_id, limit)
-    return page.withColumn("_doc", json_fields("object_value", COURIER_FIELDS)).select(
-        "id", F.col("_doc._id").alias("courier_id"), F.col("_doc.name").alias("courier_name")
-    )
+    docs = page.select("id", F.inline(F.array(json_fields("object_value", COURIER_FIELDS))))
+    return docs.select("id", F.col("_id").alias("courier_id"), F.col("name").alias("courier_name"))
 
 
 def _deliveries(stg: DataFrame) -> DataFrame:
-    return stg.select("id", json_fields("object_value", DELIVERY_FIELDS).alias("_doc")).select("id", "_doc.*")
+    """Typed documents. ``inline`` keeps join and filter conditions from parsing a text again."""
+    return stg.select("id", F.inline(F.array(json_fields("object_value", DELIVERY_FIELDS))))
 
 
 def _page(rows: DataFrame, limit: int | None) -> DataFrame:

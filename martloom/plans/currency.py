@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import on_day
 from martloom.functions.keys import md5_key
+from martloom.operators.lineage import lookup
 from martloom.operators.vault import KeyFunction, load_hub, load_link, load_satellite
 
 # Code of the currency amounts are converted to, and a transaction type left out.
@@ -54,7 +55,7 @@ def link_transaction_currency(
     versions = h_currencies.where(on_day("date_update", day)).select(
         "currency_code", F.to_date("date_update").alias("_day"), "h_currency_pk"
     )
-    pairs = rows.join(versions, ["currency_code", "_day"]).join(
+    pairs = rows.join(lookup(versions), ["currency_code", "_day"]).join(
         h_transactions.select("operation_id", "h_transaction_pk"), "operation_id"
     )
     keys = ["h_transaction_pk", "h_currency_pk"]
@@ -135,8 +136,8 @@ def daily_currency_metrics(
         .join(accounts_of, "h_transaction_pk")
         .join(amounts, "h_transaction_pk")
         .join(link.select("h_transaction_pk", "h_currency_pk"), "h_transaction_pk")
-        .join(h_currencies.select("h_currency_pk", "currency_code"), "h_currency_pk")
-        .join(rates, ["h_currency_pk", "date_update"], "left")
+        .join(lookup(h_currencies.select("h_currency_pk", "currency_code")), "h_currency_pk")
+        .join(lookup(rates), ["h_currency_pk", "date_update"], "left")
         .groupBy("date_update", "currency_code", "operation_id", "account_number_from")
         .agg(F.min("amount").alias("amount"), F.min("currency_with_div").alias("rate"))
     )

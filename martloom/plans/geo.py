@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import iso_week, iso_year, local_time as to_local_time
 from martloom.functions.text import comma_decimal
-from martloom.operators.ranking import latest_per_key
 from martloom.operators.runs import consecutive_day_runs
 from martloom.operators.spatial import MAX_LISTED_PLACES, assign_nearest, pairs_within_radius
 
@@ -32,22 +31,28 @@ def clean_coordinates(places: DataFrame) -> DataFrame:
     )
 
 
+STAY_KEYS = ["user_id", "place_id", "city"]
+
+
 def stays(located: DataFrame) -> DataFrame:
     """Runs of consecutive days per user and place."""
-    return consecutive_day_runs(located, ["user_id", "place_id", "city"], "date")
+    return consecutive_day_runs(located, STAY_KEYS, "date")
 
 
-def home_city(runs: DataFrame, min_days: int = HOME_DAYS) -> DataFrame:
-    """City of each user's most recent stay of at least ``min_days`` days.
+def _stay() -> Column:
+    """Stays in the order a user made them."""
+    return F.struct("run_start", "place_id", "city")
 
-    Stays are compared by their last day; the longer stay wins a tie.
-    """
-    newest = F.struct("run_end", "count_days", "place_id")
-    return (
-        runs.where(F.col("count_days") >= min_days)
-        .groupBy("user_id")
-        .agg(F.max_by("city", newest).alias("home_city"))
-    )
+
+def _newest() -> Column:
+    """Stays are compared by their last day; the longer stay wins a tie."""
+    return F.struct("run_end", "count_days", "place_id")
+
+
+def home_city(runs: DataFrame, min_days: int = HOME_DAYS) -> DataFrame:
+    """City of each user's most recent stay of at least ``min_days`` days."""
+    homes = runs.where(F.col("count_days") >= min_days)
+    return homes.groupBy("user_id").agg(F.max_by("city", _newest()).alias("home_city"))
 
 
 def travel_array(runs: DataFrame) -> DataFrame:
@@ -55,7 +60,7 @@ def travel_array(runs: DataFrame) -> DataFrame:
 
     A user has at most one stay per place and day, so the list is bounded by the calendar.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("run_start", "place_id", "city")))
+    ordered = F.array_sort(F.collect_list(_stay()))
     return (
         runs.groupBy("user_id")
         .agg(ordered.alias("_stays"))
@@ -82,18 +87,32 @@ def user_geo_mart(
 ) -> DataFrame:
     """Per user: actual and home city, travels, and local time of the latest event.
 
-    ``messages`` has ``event_id``, ``user_id``, ``lat``, ``lon``, ``ts`` and ``date``. All four
-    parts are keyed by user, so their joins share one partitioning.
+    ``messages`` has ``event_id``, ``user_id``, ``lat``, ``lon``, ``ts`` and ``date``. Events
+    are located once and reduced to days and then to stays, which carry their latest event
+    along; every column of the mart is an aggregate over a user's stays, with no join.
     """
     located = assign_nearest(messages, places, "event_id", max_listed=max_listed)
-    actual = local_time(latest_per_key(located, ["user_id"], ["ts", "event_id"]), "ts", tz).select(
-        "user_id", F.col("city").alias("act_city"), "local_time"
+    runs = consecutive_day_runs(
+        located.withColumn("_last", F.struct("ts", "event_id")), STAY_KEYS, "date", latest="_last"
     )
-    runs = stays(located.where("place_id is not null"))
+    known = F.col("place_id").isNotNull()
     return (
-        actual.join(travel_array(runs), "user_id", "left")
-        .join(home_city(runs, min_days), "user_id", "left")
-        .select("user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
+        runs.groupBy("user_id")
+        .agg(
+            F.max_by("city", "_last").alias("act_city"),
+            F.max_by("city", F.when(known & (F.col("count_days") >= min_days), _newest())).alias("home_city"),
+            F.count_if(known).alias("travel_count"),
+            F.array_sort(F.collect_list(F.when(known, _stay()))).alias("_stays"),
+            F.max("_last").alias("_last"),
+        )
+        .select(
+            "user_id",
+            "act_city",
+            "home_city",
+            F.when(F.col("travel_count") > 0, F.col("travel_count")).alias("travel_count"),
+            F.when(F.col("travel_count") > 0, F.col("_stays.city")).alias("travel_array"),
+            to_local_time("_last.ts", tz).alias("local_time"),
+        )
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import as_date, iso_week_label, on_day
+from martloom.operators.lineage import lookup
 from martloom.operators.loads import ensure_column, new_rows
 from martloom.operators.ranking import first_per_key
 
@@ -57,7 +58,7 @@ def sales_fact(stg: DataFrame, calendar: DataFrame, ds: str | dt.date | None = N
     dates = calendar.select("date_id", "date_actual")
     day = stg.where(on_day("date_time", ds))
     amount = F.col("payment_amount")
-    return day.join(dates, F.to_date("date_time") == F.col("date_actual"), "left").select(
+    return day.join(lookup(dates), F.to_date("date_time") == F.col("date_actual"), "left").select(
         "date_id",
         "item_id",
         "customer_id",
@@ -81,7 +82,7 @@ def customer_retention(sales: DataFrame, calendar: DataFrame, ds: str | dt.date
     if ds is not None:
         dates = dates.where(F.col("period_name") == iso_week_label(F.lit(as_date(ds))))
     per_customer = (
-        sales.join(dates, "date_id")
+        sales.join(lookup(dates), "date_id")
         .groupBy("customer_id", "period_name", "period_id", "status", "item_id")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("payment_amount").alias("revenue"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import whole_days
 from martloom.functions.text import packed_field
+from martloom.operators.lineage import lookup
 from martloom.operators.loads import surrogate_id
 
 RATE = "decimal(14,3)"
@@ -54,20 +55,11 @@ def shipping_transfer(log: DataFrame) -> DataFrame:
 def shipping_info(log: DataFrame, rates: DataFrame, agreements: DataFrame, transfers: DataFrame) -> DataFrame:
     """One row per shipment with the ids of its country rate, agreement and transfer.
 
-    The log holds a row per state, so it is reduced to shipments before the lookups. Rates are
-    part of the country and transfer lookups: a name with two rates does not multiply shipments.
+    The log holds a row per state. The lookups replace its texts by ids first, so the one
+    shuffle, that of the distinct, carries ids only. Rates are part of the country and transfer
+    lookups: a name with two rates does not multiply shipments.
     """
-    shipments = log.select(
-        "shipping_id",
-        "payment_amount",
-        "vendor_id",
-        "shipping_plan_datetime",
-        "shipping_country",
-        "shipping_country_base_rate",
-        packed_field("vendor_agreement_description", 1).cast("long").alias("agreement_id"),
-        "shipping_transfer_description",
-        "shipping_transfer_rate",
-    ).distinct()
+    rows = log.withColumn("agreement_id", packed_field("vendor_agreement_description", 1).cast("long"))
     country = rates.select(
         F.col("id").alias("shipping_country_rate_id"),
         F.col("shipping_country").alias("_country"),
@@ -80,15 +72,15 @@ def shipping_info(log: DataFrame, rates: DataFrame, agreements: DataFrame, trans
         F.col("shipping_transfer_rate").alias("_transfer_rate"),
     )
     return (
-        shipments.join(
-            country,
+        rows.join(
+            lookup(country),
             (F.col("shipping_country") == F.col("_country"))
             & F.col("shipping_country_base_rate").eqNullSafe(F.col("_country_rate")),
             "left",
         )
-        .join(agreement, F.col("agreement_id") == F.col("shipping_agreement_id"))
+        .join(lookup(agreement), F.col("agreement_id") == F.col("shipping_agreement_id"))
         .join(
-            transfer,
+            lookup(transfer),
             (F.col("shipping_transfer_description") == F.col("_transfer"))
             & F.col("shipping_transfer_rate").eqNullSafe(F.col("_transfer_rate")),
         )
@@ -150,9 +142,9 @@ def shipping_datamart(
     times = status.withColumn(end, F.coalesce("shipping_end_fact_datetime", F.lit(as_of)))
     return (
         info.join(times, "shipping_id")
-        .join(transfers.withColumnRenamed("id", "shipping_transfer_id"), "shipping_transfer_id")
-        .join(agreements.withColumnRenamed("agreement_id", "shipping_agreement_id"), "shipping_agreement_id")
-        .join(rates.withColumnRenamed("id", "shipping_country_rate_id"), "shipping_country_rate_id")
+        .join(lookup(transfers.withColumnRenamed("id", "shipping_transfer_id")), "shipping_transfer_id")
+        .join(lookup(agreements.withColumnRenamed("agreement_id", "shipping_agreement_id")), "shipping_agreement_id")
+        .join(lookup(rates.withColumnRenamed("id", "shipping_country_rate_id")), "shipping_country_rate_id")
         .select(
             "shipping_id",
             "vendor_id",
