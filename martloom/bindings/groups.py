@@ -61,20 +61,16 @@ def h_users(t: Tables) -> DataFrame:
 
 
 def h_groups(t: Tables) -> DataFrame:
-    return (
-        events_k(t)
-        .groupBy("group_id")
-        .agg(F.min("ts").alias("registration_dt"))
-        .withColumn("hk_group_id", md5_key("group_id"))
-    )
+    first = events_k(t).groupBy("group_id").agg(F.min("ts").alias("registration_dt"))
+    return t.stored(first.withColumn("hk_group_id", md5_key("group_id")), "h_groups")
 
 
-def link(t: Tables) -> DataFrame:
-    return groups.group_link(group_log(t), h_users(t), h_groups(t), LOAD_DT, SOURCE)
+def link(t: Tables, known: DataFrame) -> DataFrame:
+    return groups.group_link(group_log(t), h_users(t), known, LOAD_DT, SOURCE)
 
 
-def history(t: Tables, held: DataFrame) -> DataFrame:
-    return groups.group_history(group_log(t), h_users(t), h_groups(t), held, LOAD_DT, SOURCE)
+def history(t: Tables, known: DataFrame, held: DataFrame) -> DataFrame:
+    return groups.group_history(group_log(t), h_users(t), known, held, LOAD_DT, SOURCE)
 
 
 def messages(t: Tables, key: str | Column, name: str) -> DataFrame:
@@ -90,7 +86,7 @@ def messages(t: Tables, key: str | Column, name: str) -> DataFrame:
          '2024-02-01 00:00:00.000000' as load_dt, 's3' as load_src from link""",
 )
 def group_link(t: Tables) -> DataFrame:
-    return plain(link(t))
+    return plain(link(t, h_groups(t)))
 
 
 @query("group_link_hash64")
@@ -109,7 +105,8 @@ def group_link_hash64(t: Tables) -> DataFrame:
          '2024-02-01 00:00:00.000000' as load_dt, 's3' as load_src from log""",
 )
 def group_history(t: Tables) -> DataFrame:
-    return plain(history(t, link(t)))
+    known = h_groups(t)
+    return plain(history(t, known, link(t, known)))
 
 
 @query(
@@ -118,13 +115,14 @@ def group_history(t: Tables) -> DataFrame:
 )
 def messages_bottom10(t: Tables) -> DataFrame:
     wrote, held = messages(t, "user_id", "hk_user_id"), messages(t, "group_id", "hk_group_id")
-    return plain(groups.users_with_messages(link(t), wrote, held))
+    return plain(groups.users_with_messages(link(t, h_groups(t)), wrote, held))
 
 
 @query("group_added_early10", VAULT_SQL + "select * from added order by cnt_added_users, hk_group_id limit 10")
 def added_early10(t: Tables) -> DataFrame:
-    held = t.stored(link(t), "link")
-    return plain(groups.users_added_to_early_groups(held, history(t, held), h_groups(t)))
+    known = h_groups(t)
+    held = t.stored(link(t, known), "link")
+    return plain(groups.users_added_to_early_groups(held, history(t, known, held), known))
 
 
 @query(
@@ -136,5 +134,6 @@ def added_early10(t: Tables) -> DataFrame:
 )
 def group_conversion(t: Tables) -> DataFrame:
     wrote, held = messages(t, "user_id", "hk_user_id"), messages(t, "group_id", "hk_group_id")
-    members = t.stored(link(t), "link")
-    return plain(groups.group_conversion(members, history(t, members), h_groups(t), wrote, held))
+    known = h_groups(t)
+    members = t.stored(link(t, known), "link")
+    return plain(groups.group_conversion(members, history(t, known, members), known, wrote, held))

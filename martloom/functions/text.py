@@ -29,3 +29,16 @@ def json_fields(document: str | Column, schema: str) -> Column:
 def comma_decimal(value: str | Column, to: str = "float") -> Column:
     """Number written with a decimal comma."""
     return F.regexp_replace(as_column(value), ",", ".").try_cast(to)
+
+
+def plain_number(text: str | Column) -> Column:
+    """Number text without an exponent: ``1.0E7`` becomes ``10000000.0``.
+
+    Spark prints doubles from ten million on, and below a thousandth, with an exponent; hash
+    keys need the digits other systems print. Magnitudes of 1e16 and more stay as they are.
+    """
+    c = as_column(text)
+    value = c.try_cast("double")
+    digits = F.rtrim(value.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    written = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(c.contains("E") & (F.abs(value) < 1e16), F.coalesce(written, c)).otherwise(c)

@@ -74,7 +74,7 @@ def upsert_table(
     touched = [row["bucket"] for row in incoming.select("bucket").distinct().collect()]
     existing = read_or_empty(spark, path, incoming).where(F.col("bucket").isin(touched))
     merged = upsert(existing, incoming, ["bucket", *keys], order_by, keep_first)
-    write_partitions(merged.repartition("bucket"), path, ["bucket"])
+    write_partitions(balanced(merged, ["bucket"]), path, ["bucket"])
 
 
 def add_counts(
@@ -147,14 +147,18 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) ->
     )
 
 
-def replace_period(df: DataFrame, path: str, period_cols: Sequence[str], files_per_period: int = 1) -> None:
-    """Delete and insert the periods of ``df``; running it twice leaves one copy.
+def replace_period(df: DataFrame, path: str, period_cols: Sequence[str]) -> None:
+    """Delete and insert the periods of ``df``; running it twice leaves one copy."""
+    write_partitions(balanced(df, period_cols), path, period_cols)
 
-    Rows are spread over ``files_per_period`` tasks per period, so one large period does not
-    end up in a single task.
+
+def balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows brought together per table partition before a write.
+
+    The rebalance hint lets Spark cut a partition that holds many rows into several tasks and
+    put small ones together, so neither tiny files nor one huge task come about.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_period))
-    write_partitions(df.repartition(*period_cols, spread), path, period_cols)
+    return df.hint("rebalance", *partition_cols)
 
 
 def ensure_column(df: DataFrame, name: str, data_type: str, default: object) -> DataFrame:

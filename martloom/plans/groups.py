@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import md5_key
+from martloom.operators.lineage import lookup
+from martloom.operators.loads import with_literals
 from martloom.operators.ranking import top_k
 from martloom.operators.vault import KeyFunction, load_link
-from martloom.operators.loads import with_literals
 
 LINK_KEY = "hk_l_user_group_activity"
 HUB_KEYS = ["hk_user_id", "hk_group_id"]
@@ -35,7 +36,7 @@ def group_link(
         group_log.select("user_id", "group_id")
         .distinct()
         .join(users.select("user_id", "hk_user_id"), "user_id", "left")
-        .join(groups.select("group_id", "hk_group_id"), "group_id", "left")
+        .join(lookup(groups.select("group_id", "hk_group_id")), "group_id", "left")
     )
     return load_link(pairs, link, LINK_KEY, HUB_KEYS, load_dt, source, key=key)
 
@@ -45,7 +46,7 @@ def group_history(
 ) -> DataFrame:
     """History satellite: every log row under its membership link; unknown members have no key."""
     rows = (
-        group_log.join(groups.select("group_id", "hk_group_id"), "group_id", "left")
+        group_log.join(lookup(groups.select("group_id", "hk_group_id")), "group_id", "left")
         .join(users.select("user_id", "hk_user_id"), "user_id", "left")
         .join(link.select(LINK_KEY, *HUB_KEYS), HUB_KEYS, "left")
         .select(LINK_KEY, "user_id_from", "event", F.col("datetime").alias("event_dt"))

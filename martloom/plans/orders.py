@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import joined_text, uuid3_key
+from martloom.functions.text import plain_number
 from martloom.operators.loads import upsert, with_literals
 from martloom.operators.ranking import latest_per_key
 
@@ -112,8 +113,8 @@ def order_rows(messages: DataFrame, *keep: str) -> DataFrame:
     return order_messages(messages).select(
         p["id"].alias("order_id"),
         p["date"].alias("order_dt"),
-        p["cost"].alias("cost"),
-        p["payment"].alias("payment"),
+        plain_number(p["cost"]).alias("cost"),
+        plain_number(p["payment"]).alias("payment"),
         p["status"].alias("status"),
         p["user"]["id"].alias("user_id"),
         p["user"]["name"].alias("username"),

@@ -30,24 +30,24 @@ def clean_increment(raw: DataFrame, order_by: Sequence[Column], key: str = "uniq
 def new_dimension_rows(
     stg: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str], latest_by: Sequence[str]
 ) -> DataFrame:
-    """New dimension rows: one per key the dimension lacks, with its latest attributes."""
-    fresh = new_rows(stg.select(key, *attrs, *[c for c in latest_by if c not in (key, *attrs)]), dim, [key])
-    packed = fresh.groupBy(key).agg(F.max_by(F.struct(*attrs), F.struct(*latest_by, *attrs)).alias("_attrs"))
-    return packed.select(key, *[F.col(f"_attrs.{a}") for a in attrs])
+    """New dimension rows: one per key the dimension lacks, with its latest attributes.
+
+    The staging rows are reduced to keys before they meet the dimension, so a hot key is one row
+    by then.
+    """
+    latest = F.max_by(F.struct(*attrs), F.struct(*latest_by, *attrs)).alias("_attrs")
+    per_key = stg.groupBy(key).agg(latest).select(key, *[F.col(f"_attrs.{a}") for a in attrs])
+    return new_rows(per_key, dim, [key])
 
 
 def new_customer_rows(stg: DataFrame, dim: DataFrame, latest_by: Sequence[str]) -> DataFrame:
     """New customers with their latest name and highest ``city_id``."""
     names = ["first_name", "last_name"]
-    fresh = new_rows(stg.select("customer_id", *names, "city_id", *latest_by), dim, ["customer_id"])
-    return (
-        fresh.groupBy("customer_id")
-        .agg(
-            F.max_by(F.struct(*names), F.struct(*latest_by, *names)).alias("_names"),
-            F.max("city_id").alias("city_id"),
-        )
-        .select("customer_id", *[F.col(f"_names.{n}") for n in names], "city_id")
+    per_key = stg.groupBy("customer_id").agg(
+        F.max_by(F.struct(*names), F.struct(*latest_by, *names)).alias("_names"), F.max("city_id").alias("city_id")
     )
+    rows = per_key.select("customer_id", *[F.col(f"_names.{n}") for n in names], "city_id")
+    return new_rows(rows, dim, ["customer_id"])
 
 
 def sales_fact(stg: DataFrame, calendar: DataFrame, ds: str | dt.date | None = None) -> DataFrame:

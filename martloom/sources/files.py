@@ -68,12 +68,13 @@ def read_document_pages(spark: SparkSession, path: str | list[str]) -> DataFrame
     ``object_value`` is the document text; ``arrival`` orders documents by file time and
     position on the page.
     """
-    pages = spark.read.text(path).select("value", F.col("_metadata.file_modification_time").alias("_at"), F.col("_metadata.file_path").alias("_file"))
-    docs = pages.select("_at", "_file", F.posexplode(F.from_json("value", "array<variant>")).alias("_pos", "_doc"))
-    return docs.select(
-        F.to_json("_doc").alias("object_value"),
-        F.concat_ws("#", F.date_format("_at", "yyyyMMddHHmmssSSS"), "_file", F.lpad(F.col("_pos").cast("string"), 9, "0")).alias("arrival"),
-    )
+    file = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    pages = spark.read.text(path).select("value", file[0].alias("_at"), file[1].alias("_file"))
+    texts = F.from_json("value", "array<string>")
+    docs = pages.select("_at", "_file", F.posexplode(texts).alias("_pos", "object_value"))
+    place = F.lpad(F.col("_pos").cast("string"), 9, "0")
+    arrival = F.concat_ws("#", F.date_format("_at", "yyyyMMddHHmmssSSS"), "_file", place)
+    return docs.where("object_value is not null").select("object_value", arrival.alias("arrival"))
 
 
 def load_with_rejects(
