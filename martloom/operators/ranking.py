@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import as_column
 from martloom.operators.lineage import ONE_TASK_ROWS, cut_lineage, fits_one_task, has_more_rows
 
-RANGES = 512
-SAMPLES_PER_RANGE = 4
+# ``monotonically_increasing_id`` holds the task in the bits above these and the row below.
+ROW_BITS = 33
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[Column]) -> DataFrame:
@@ -34,43 +34,30 @@ def top_k(df: DataFrame, k: int, order_by: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
-def _with_ranges(df: DataFrame, order_by: Sequence[str], ranges: int) -> DataFrame:
-    """Adds ``_key`` (the ordering columns) and ``_range``, the number of splitters not above it.
+def _positions(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Sorted rows with the task that sorted them, ``_part``, and their place in it, ``_local``.
 
-    Splitters are one key per residue of a hash of the keys: a spread sample that depends on
-    the data only, so a task that runs again finds the same ranges. Any splitters give the same
-    final numbers; they only decide how even the ranges are. At most ``ranges`` of them exist.
+    A global sort cuts the keys into ranges by a sample and sorts each range in its own task, so
+    tasks follow each other in key order. The checkpoint fixes the positions: a task lost later
+    is read again, not sorted again into other ranges.
     """
-    key = F.struct(*order_by)
-    slots = ranges * SAMPLES_PER_RANGE
-    sample = (
-        df.select(key.alias("k"))
-        .groupBy(F.pmod(F.xxhash64("k"), F.lit(slots)).alias("slot"))
-        .agg(F.min_by("k", F.xxhash64(F.lit(1), "k")).alias("k"))
-    )
-    splitters = sample.agg(
-        F.filter(
-            F.array_sort(F.collect_list("k")),
-            lambda _, i: i % SAMPLES_PER_RANGE == SAMPLES_PER_RANGE - 1,
-        ).alias("splitters")
-    )
-    return (
-        df.withColumn("_key", key)
-        .withColumn("_splitters", splitters.scalar())
-        .withColumn("_range", F.size(F.filter("_splitters", lambda s: s <= F.col("_key"))))
-        .drop("_splitters")
+    placed = cut_lineage(df.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id()))
+    return placed.select(
+        *df.columns,
+        F.shiftright("_id", ROW_BITS).alias("_part"),
+        F.col("_id").bitwiseAND((1 << ROW_BITS) - 1).alias("_local"),
     )
 
 
-def _range_offsets(ranged: DataFrame) -> DataFrame:
-    """Rows before each range and in all; at most one row per range."""
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def _offsets(placed: DataFrame) -> DataFrame:
+    """Rows of each sorting task, rows before it and rows in all: one row per task."""
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        ranged.groupBy("_range")
+        placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(
-            "_range",
+            "_part",
             "_rows",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
             F.sum("_rows").over(everything).alias("_total"),
@@ -85,13 +72,11 @@ def global_row_number(
     *,
     one_task_bytes: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Row numbers 1..n over a whole table, ascending and NULLs first.
 
     An input that is small by estimate or by count is numbered by a plain window. A large one is
-    cut into key ranges, numbered inside each range in parallel and shifted by the row count of
-    the ranges before.
+    sorted in parallel, numbered in each task and shifted by the row count of the tasks before.
     """
     number = F.row_number().over(Window.orderBy(*order_by)).cast("long")
     if fits_one_task(df, one_task_bytes):
@@ -99,37 +84,27 @@ def global_row_number(
     df = cut_lineage(df)
     if not has_more_rows(df, one_task_rows):
         return df.withColumn(name, number)
-    ranged = _with_ranges(df, order_by, ranges)
-    inside = Window.partitionBy("_range").orderBy("_key")
-    numbered = ranged.join(_range_offsets(ranged), "_range").withColumn(
-        name, F.col("_before") + F.row_number().over(inside)
-    )
-    return numbered.drop("_key", "_range", "_rows", "_before", "_total")
+    placed = _positions(df, order_by)
+    # One row per sorting task: always small enough to send around.
+    offsets = F.broadcast(_offsets(placed).select("_part", "_before"))
+    return placed.join(offsets, "_part").select(*df.columns, (F.col("_before") + F.col("_local") + 1).alias(name))
 
 
-def _bucket_ends(df: DataFrame, order_by: Sequence[str], buckets: int, ranges: int) -> DataFrame:
-    """One row with the key of the last row of every bucket but the final one.
-
-    Row counts per range tell which ranges hold those rows, so only these few are sorted.
-    """
-    ranged = _with_ranges(df, order_by, ranges)
+def _bucket_ends(df: DataFrame, order_by: Sequence[str], buckets: int) -> DataFrame:
+    """One row with the keys of the last row of every bucket but the final one."""
+    placed = _positions(df, order_by)
     size, rest = F.floor(F.col("_total") / buckets), F.col("_total") % buckets
+    last = F.col("_bucket") * size + F.least("_bucket", rest)
     wanted = (
-        _range_offsets(ranged)
+        _offsets(placed)
         .withColumn("_bucket", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))))
-        .withColumn("_local", F.col("_bucket") * size + F.least("_bucket", rest) - F.col("_before"))
-        .where("_local between 1 and _rows")
-        .select("_range", "_local")
-    )
-    spots = wanted.groupBy("_range").agg(F.collect_set("_local").alias("_locals"))
-    inside = Window.partitionBy("_range").orderBy("_key")
-    return (
-        ranged.join(spots, "_range")
-        .withColumn("_local", F.row_number().over(inside).cast("long"))
-        .where(F.array_contains("_locals", F.col("_local")))
-        .select("_key", F.explode(F.filter("_locals", lambda x: x == F.col("_local"))))
-        .agg(F.collect_list("_key").alias("ends"))
+        .withColumn("_local", last - F.col("_before") - 1)
+        .where("_local >= 0 and _local < _rows")
+        .select("_part", "_local")
     )
+    # The key is repeated where buckets are empty: fewer rows than buckets.
+    found = placed.join(F.broadcast(wanted), ["_part", "_local"])
+    return found.agg(F.collect_list(F.struct(*order_by)).alias("ends"))
 
 
 def global_ntile(
@@ -140,12 +115,12 @@ def global_ntile(
     *,
     one_task_bytes: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Adds ``ntile(buckets)`` over the whole table for each ``{new column: metric column}``.
 
-    Ties are ordered by ``key``. A large input is never sorted as a whole: the keys that end
-    each bucket are found first, then every row is compared with them where it lies.
+    Ties are ordered by ``key``, which is unique. A large input never meets in one task: a
+    parallel sort of metric and key gives the rows that end each bucket, and every row is then
+    compared with these few where it lies.
     """
     small = fits_one_task(df, one_task_bytes)
     if not small:
@@ -157,7 +132,7 @@ def global_ntile(
         return df
     labelled = df
     for name, metric in scores.items():
-        ends = _bucket_ends(df.select(metric, key), [metric, key], buckets, ranges)
+        ends = _bucket_ends(df.select(metric, key), [metric, key], buckets)
         labelled = (
             labelled.withColumn("_key", F.struct(metric, key))
             .withColumn("_ends", ends.scalar())

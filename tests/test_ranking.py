@@ -13,20 +13,19 @@ FORCED = {"one_task_bytes": 0, "one_task_rows": 0}
 
 
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 7, 101, 1000])
-@pytest.mark.parametrize("ranges", [3, 16])
-def test_distributed_ntile_equals_window(spark, n, ranges):
+def test_distributed_ntile_equals_window(spark, n):
     rng = random.Random(n)
     # A third of the rows share one value, as one hot metric would.
     data = [(i, 0 if i % 3 == 0 else rng.randrange(50)) for i in range(n)]
     df = spark.createDataFrame(data, "user_id long, metric long").repartition(4)
     want = df.withColumn("score", F.ntile(5).over(Window.orderBy("metric", "user_id")))
-    got = global_ntile(df, {"score": "metric"}, "user_id", 5, ranges=ranges, **FORCED)
+    got = global_ntile(df, {"score": "metric"}, "user_id", 5, **FORCED)
     assert rows(got, "user_id", "score") == rows(want, "user_id", "score")
 
 
 def test_distributed_ntile_sizes_differ_by_one(spark):
     df = spark.range(1003).select(F.col("id").alias("user_id"), (F.col("id") % 7).alias("a"), F.lit(1).alias("b"))
-    got = global_ntile(df, {"x": "a", "y": "b"}, "user_id", 5, ranges=8, **FORCED)
+    got = global_ntile(df, {"x": "a", "y": "b"}, "user_id", 5, **FORCED)
     for score in ("x", "y"):
         sizes = [r["count"] for r in got.groupBy(score).count().collect()]
         assert sorted(sizes) == [200, 200, 201, 201, 201]
@@ -35,7 +34,7 @@ def test_distributed_ntile_sizes_differ_by_one(spark):
 def test_ntile_with_null_metric(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 1), (5, 2), (6, None)], "user_id long, metric long")
     want = df.withColumn("score", F.ntile(3).over(Window.orderBy("metric", "user_id")))
-    got = global_ntile(df, {"score": "metric"}, "user_id", 3, ranges=4, **FORCED)
+    got = global_ntile(df, {"score": "metric"}, "user_id", 3, **FORCED)
     assert rows(got, "user_id", "score") == rows(want, "user_id", "score")
 
 
@@ -44,7 +43,7 @@ def test_distributed_row_number_equals_window(spark, n):
     data = [(f"k{i % 9}" if i % 4 else None, i) for i in range(n)]
     df = spark.createDataFrame(data, "a string, b long").repartition(4)
     want = df.withColumn("id", F.row_number().over(Window.orderBy("a", "b")).cast("long"))
-    got = global_row_number(df, ["a", "b"], "id", ranges=8, **FORCED)
+    got = global_row_number(df, ["a", "b"], "id", **FORCED)
     assert rows(got, "a", "b", "id") == rows(want, "a", "b", "id")
 
 
