@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import exact_dedup, language_id, packing, token_counts, toxicity
+from martloom.llm import exact_dedup, language_id, language_model, packing, token_counts, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_corpus(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
@@ -41,7 +45,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op5_toxicity, op6_packing, op7_language_id, op8_token_counts)}
+    return {f.__name__: f for f in (op2_lm_scoring, op4_exact_dedup, op5_toxicity, op6_packing, op7_language_id, op8_token_counts)}
 
 
 def oracles() -> dict[str, str]:
