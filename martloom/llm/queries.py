@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import exact_dedup, language_id, language_model, packing, token_counts, toxicity
+from martloom.llm import (
+    decontamination,
+    exact_dedup,
+    html_text,
+    language_id,
+    language_model,
+    near_dedup,
+    packing,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,10 +31,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_corpus(table(spark, folder, "documents"))
 
 
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, folder, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
@@ -44,8 +63,29 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_lm_scoring, op4_exact_dedup, op5_toxicity, op6_packing, op7_language_id, op8_token_counts)}
+    """Every query by name; each takes the session and a folder of tables."""
+    found = (
+        op1_substring_dedup,
+        op2_lm_scoring,
+        op3_html_text,
+        op4_exact_dedup,
+        op5_toxicity,
+        op6_packing,
+        op7_language_id,
+        op8_token_counts,
+        op9_decontamination,
+        op10_near_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
