@@ -61,24 +61,48 @@ def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class WordIds:
-    """64-bit hashes of words, remembered for words already met; forgets all when ``limit`` is reached."""
-
-    def __init__(self, limit: int = 400_000):
-        import xxhash
-
-        self.of, self.known, self.limit = xxhash.xxh3_64_intdigest, {}, limit
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            of = self.of
-            known.update((w, of(w)) for w in words if w not in known)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_DICE = np.random.default_rng(31)
+_BYTES = _DICE.integers(1, 1 << 63, 256, dtype=np.uint64)
+_PLACES = _DICE.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BYTES[_BLANK] = 0
+
+
+def word_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts, and where each text's words begin (and the last end).
+
+    Words are runs between blanks and tab to carriage return. A word's hash is the sum over its bytes of a random
+    number of the byte times one of its place in the word.
+    """
+    parts = [t.lower().encode("utf-8", "replace") for t in texts]
+    raw = np.frombuffer(b" " + b" ".join(parts), np.uint8)
+    blank = _BLANK.take(raw)
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    offsets = np.cumsum([1, *(len(p) + 1 for p in parts)])
+    bounds = np.searchsorted(starts, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), bounds
+    raw = raw[starts[0] :]
+    starts = starts - starts[0]
+    place = np.arange(len(raw)) - np.repeat(starts, np.diff(starts, append=len(raw)))
+    with np.errstate(over="ignore"):
+        terms = _BYTES.take(raw)
+        if place.max() < 256:
+            terms *= _PLACES.take(place)
+        else:
+            terms *= _PLACES.take(place & 255) + (place >> 8).astype(np.uint64)
+        return mix(np.add.reduceat(terms, starts)), bounds
+
+
+def shingle_table(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``width`` words of all texts, and where each text's runs begin (and the last end)."""
+    ids, bounds = word_table(texts)
+    every = shingle_hashes(ids, width)
+    counts = np.maximum(np.diff(bounds) - width + 1, 0)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    at = np.arange(ends[-1]) + np.repeat(bounds[:-1] - ends[:-1], counts)
+    return every[at], ends
 
 
 def shingle_hashes(ids: np.ndarray, width: int) -> np.ndarray:

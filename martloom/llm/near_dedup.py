@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import WordIds, chunks, mix, shingle_hashes, stored, whole_text
+from martloom.llm.common import chunks, mix, shingle_hashes, stored, whole_text, word_table
 from martloom.llm.links import classes, compare, digest, distinct_texts
 
 SHINGLE = 5
@@ -24,21 +24,19 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 5
 CELLS = 1 << 18
-CLOSE_SAMPLES = 33  # of BANDS * ROWS; at similarity 0.8 fewer agree once in 10,000 pairs
-
-
-def words_of(text: str) -> list[bytes]:
-    return text.lower().encode().split()
+CLOSE_SAMPLES = 38  # of BANDS * ROWS; at similarity 0.8 fewer agree once in 1,000 pairs
 
 
 class Weigher:
     """Shingles of a text with their weights."""
 
     def __init__(self, idf: np.ndarray):
-        self.idf, self.ids = idf, WordIds()
+        self.idf = idf
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.ids(words_of(text))
+        return self.of_words(word_table([text])[0])
+
+    def of_words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = min(SHINGLE, len(ids))
         if not width:
             return np.zeros(0, np.uint64), np.zeros(0, np.float32)
@@ -58,29 +56,36 @@ class Sampler:
         dice = np.random.default_rng(23)
         self.r = dice.gamma(2, 1, 1 << 12).astype(np.float32) + np.float32(1e-6)
         self.ln_c = np.log(dice.gamma(2, 1, 1 << 12) + 1e-9).astype(np.float32)
-        self.one_by_r = (1 / self.r).astype(np.float32)
         self.seeds = mix(np.arange(1, samples + 1, dtype=np.uint64), 99) | np.uint64(1)
 
     def __call__(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
         best = np.full(len(self.seeds), np.inf, np.float32)
         chosen = np.zeros(len(self.seeds), np.uint64)
         level = np.zeros(len(self.seeds), np.int32)
-        columns = np.arange(len(self.seeds))
-        for start in range(0, len(shingles), 1024):
-            k, ln_w = shingles[start : start + 1024], np.log(weights[start : start + 1024])
+        rows, seeds, odd = np.arange(len(self.seeds)), self.seeds[:, None], np.uint64(0x9E3779B97F4A7C15)
+        for start in range(0, len(shingles), 512):  # blocks that stay in the processor's cache
+            k, ln_w = shingles[start : start + 512], np.log(weights[start : start + 512])
             with np.errstate(over="ignore"):
-                x = (k[:, None] ^ self.seeds) * np.uint64(0x9E3779B97F4A7C15)
-                x ^= x >> np.uint64(32)
-                x *= self.seeds
-            r_at = (x >> np.uint64(52)).astype(np.int32)
-            c_at = ((x >> np.uint64(40)) & np.uint64(0xFFF)).astype(np.int32)
-            b = ((x >> np.uint64(16)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
-            t = np.floor(ln_w[:, None] * self.one_by_r[r_at] + b)
-            ln_a = self.ln_c[c_at] - self.r[r_at] * (t - b + 1)
-            row = ln_a.argmin(axis=0)
-            least = ln_a[row, columns]
+                x = (k * odd) ^ seeds
+                x *= odd
+                x ^= x >> np.uint64(29)
+                x *= odd
+            high = (x >> np.uint64(32)).astype(np.uint32)
+            r = self.r.take(high >> np.uint32(20))
+            ln_a = self.ln_c.take((high >> np.uint32(8)) & np.uint32(0xFFF))
+            b = (x.astype(np.uint32) >> np.uint32(8)).astype(np.float32)
+            b *= np.float32(2.0**-24)
+            t = ln_w / r
+            t += b
+            np.floor(t, out=t)
+            b -= t
+            b -= np.float32(1)
+            b *= r
+            ln_a += b  # ln c - r (t - b + 1)
+            at = ln_a.argmin(axis=1)
+            least = ln_a[rows, at]
             better = least < best
-            best[better], chosen[better], level[better] = least[better], k[row[better]], t[row, columns][better]
+            best[better], chosen[better], level[better] = least[better], k[at[better]], t[rows, at][better]
         with np.errstate(over="ignore"):
             return mix(chosen ^ (level.astype(np.int64).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)))
 
@@ -101,11 +106,13 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """1 + ln((1 + documents) / (1 + documents with a word of the cell)), for each hashed cell of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts = WordIds(), np.zeros(CELLS + 1, np.int64)
+        counts = np.zeros(CELLS + 1, np.int64)
         for batch in chunks(batches):
-            for text in batch.column(0).to_pylist():
-                counts[np.unique(ids(words_of(text)) & np.uint64(CELLS - 1)).astype(np.int64)] += 1
-                counts[CELLS] += 1
+            ids, bounds = word_table(batch.column(0).to_pylist())
+            cells = (ids & np.uint64(CELLS - 1)).astype(np.int64)
+            pairs = np.unique(np.repeat(np.arange(batch.num_rows), np.diff(bounds)) * CELLS + cells)
+            counts[:CELLS] += np.bincount(pairs & (CELLS - 1), minlength=CELLS)
+            counts[CELLS] += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()])], names=["counts"])
 
     parts = docs.select(whole_text().alias("text")).mapInArrow(run, "counts binary").rdd
@@ -121,8 +128,9 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
         weigh, sample = Weigher(idf.value), Sampler()
         for batch in chunks(batches):
             keys, weights, bands, small = [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                shingles, w = weigh(text)
+            ids, bounds = word_table(batch.column(1).to_pylist())
+            for key, low, high in zip(batch.column(0).to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                shingles, w = weigh.of_words(ids[low:high])
                 if not len(shingles):
                     continue
                 s = sample(shingles, w)
@@ -149,9 +157,15 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # CELLS numbers
     signed = stored(signatures(docs, idf), "signatures")
     members = signed.select("digest", "weight", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("digest", "weight")).alias("lead"))
-    shared = stored(members.join(buckets.where("n > 1"), "bucket").select("bucket", "digest", "weight", "lead"), "buckets")
-    texts = stored(distinct_texts(docs, shared), "candidate-texts")
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = stored(members.join(crowded, "bucket"), "buckets")
+    # The text that meets most others leads: the one that copies derive from, if there is one.
+    popular = met.groupBy("digest").agg(F.sum("n").alias("meets"))
+    ranked = met.join(popular, "digest").select("bucket", "digest", "weight", F.struct("meets", "digest", "weight").alias("rank"))
+    ranked = stored(ranked, "ranked-buckets")
+    leads = ranked.groupBy("bucket").agg(F.max("rank").alias("lead"))
+    shared = ranked.join(leads, "bucket").select("bucket", "digest", "weight", "lead")
+    texts = stored(distinct_texts(docs, ranked), "candidate-texts")
 
     def near(x, y):
         return F.least(x, y) >= similarity * 0.9999 * F.greatest(x, y)
