@@ -28,7 +28,8 @@ with tx as (
 rates as (
   select distinct transaction_dt as date_update, currency_code,
          case when day(transaction_dt) = 5 then 430 else 420 end as currency_code_with,
-         cast(cast(currency_code - 399 as varchar) || '.125' as decimal(5,3)) as currency_with_div from tx),
+         cast(cast(currency_code - 399 as varchar) || '.125' as decimal(5,3)) as currency_with_div from tx
+  where not (day(transaction_dt) = 7 and currency_code % 3 = 0)),
 h_tx as (
   select md5(operation_id) as h_transaction_pk, operation_id from tx where account_number_from >= 0),
 h_cur as (
@@ -39,7 +40,7 @@ metrics as (
   select cast(transaction_dt as date) as d, v.currency_code, operation_id, account_number_from,
          case when v.currency_code = 420 then amount
               when r.currency_code_with = 420 then amount * r.currency_with_div end as amount
-  from valid v join rates r on v.currency_code = r.currency_code and v.transaction_dt = r.date_update
+  from valid v left join rates r on v.currency_code = r.currency_code and v.transaction_dt = r.date_update
   where transaction_type <> '4-NOT SPECIFIED')
 """
 
@@ -61,9 +62,10 @@ def transactions(t: Tables) -> DataFrame:
 
 
 def currencies(t: Tables) -> DataFrame:
-    """A rate per currency and day; on the fifth of a month only against another currency."""
+    """A rate per currency and day; on the fifth of a month only against another currency, on the seventh not for all."""
     return (
         transactions(t)
+        .where(~((F.dayofmonth("transaction_dt") == 7) & (F.col("currency_code") % 3 == 0)))
         .select(F.col("transaction_dt").alias("date_update"), "currency_code")
         .distinct()
         .select(
@@ -128,7 +130,10 @@ def hub_currencies(t: Tables) -> DataFrame:
     VAULT_SQL
     + f"""select md5(concat_ws(chr(31), h_transaction_pk, h_currency_pk)) as hk_transaction_currency_pk,
                  h_transaction_pk, h_currency_pk, {STAMP}
-          from valid v join h_cur c on v.currency_code = c.currency_code and v.transaction_dt = c.date_update""",
+          from valid v join h_cur c on v.currency_code = c.currency_code
+          qualify row_number() over (partition by v.operation_id order by
+                    case when c.date_update = v.transaction_dt then 0 when c.date_update < v.transaction_dt then 1 else 2 end,
+                    abs(datediff('day', c.date_update::date, v.transaction_dt::date))) = 1""",
 )
 def link_query(t: Tables) -> DataFrame:
     return plain(link(t, hub_tx(t), hub_cur(t)))
@@ -183,7 +188,7 @@ from (select d, currency_code, operation_id, account_number_from, min(amount) as
 
 def metrics(t: Tables, day: str | None) -> DataFrame:
     tx = transactions(t)
-    operations, versions = t.stored(hub_tx(t), "hub_tx"), t.stored(hub_cur(t), "hub_cur")
+    operations, versions = hub_tx(t), hub_cur(t)
     return currency.daily_currency_metrics(
         operations,
         versions,

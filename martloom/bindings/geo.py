@@ -75,7 +75,7 @@ def places(t: Tables) -> DataFrame:
 def wide_events(t: Tables) -> DataFrame:
     """Events over a wide box; every tenth has no latitude."""
     key = F.col("event_id")
-    return t.spread(t.events.select("event_id", "user_id", "event_type", "ts")).select(
+    return t.events.select("event_id", "user_id", "event_type", "ts").select(
         "event_id",
         "user_id",
         "event_type",
@@ -89,7 +89,7 @@ def wide_events(t: Tables) -> DataFrame:
 def stay_events(t: Tables) -> DataFrame:
     """Events a little beside one of three places."""
     key = F.col("event_id") % 3
-    return t.spread(t.events.select("event_id", "user_id", "ts")).select(
+    return t.events.select("event_id", "user_id", "ts").select(
         "event_id",
         "user_id",
         "ts",
@@ -120,7 +120,7 @@ def nearest(t: Tables) -> DataFrame:
 )
 def nearest_grid(t: Tables) -> DataFrame:
     """The way taken for place tables too long to list."""
-    located = assign_nearest(wide_events(t), places(t), "event_id", max_listed=0, first_km=100.0)
+    located = assign_nearest(wide_events(t), places(t), "event_id", first_km=100.0)
     return plain(located.select("event_id", "place_id", "city", F.round("distance", 3).alias("distance")))
 
 

@@ -62,7 +62,7 @@ def h_users(t: Tables) -> DataFrame:
 
 def h_groups(t: Tables) -> DataFrame:
     first = events_k(t).groupBy("group_id").agg(F.min("ts").alias("registration_dt"))
-    return t.stored(first.withColumn("hk_group_id", md5_key("group_id")), "h_groups")
+    return first.withColumn("hk_group_id", md5_key("group_id"))
 
 
 def link(t: Tables, known: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def messages_bottom10(t: Tables) -> DataFrame:
 @query("group_added_early10", VAULT_SQL + "select * from added order by cnt_added_users, hk_group_id limit 10")
 def added_early10(t: Tables) -> DataFrame:
     known = h_groups(t)
-    held = t.stored(link(t, known), "link")
+    held = link(t, known)
     return plain(groups.users_added_to_early_groups(held, history(t, known, held), known))
 
 
@@ -135,5 +135,5 @@ def added_early10(t: Tables) -> DataFrame:
 def group_conversion(t: Tables) -> DataFrame:
     wrote, held = messages(t, "user_id", "hk_user_id"), messages(t, "group_id", "hk_group_id")
     known = h_groups(t)
-    members = t.stored(link(t, known), "link")
+    members = link(t, known)
     return plain(groups.group_conversion(members, history(t, known, members), known, wrote, held))

@@ -42,13 +42,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """A scan of fewer files than there are cores, dealt out evenly; many files stay as they are.
-
-        The test tables are single files with one row group, which one task would parse alone.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:

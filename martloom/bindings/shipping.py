@@ -144,16 +144,16 @@ def transfer(t: Tables) -> DataFrame:
          shipping_country_rate_id, shipping_agreement_id, shipping_transfer_id from info""",
 )
 def info(t: Tables) -> DataFrame:
-    rows = t.stored(log(t), "shipping")
+    rows = log(t)
     return plain(shipping.shipping_info(rows, *references(t, rows)))
 
 
 def references(t: Tables, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three stored reference tables: country rates, agreements, transfers."""
     return (
-        t.stored(shipping.shipping_country_rates(rows), "rates"),
-        t.stored(shipping.shipping_agreement(rows), "agreements"),
-        t.stored(shipping.shipping_transfer(rows), "transfers"),
+        shipping.shipping_country_rates(rows),
+        shipping.shipping_agreement(rows),
+        shipping.shipping_transfer(rows),
     )
 
 
@@ -187,7 +187,7 @@ def status(t: Tables) -> DataFrame:
     join agreements a on i.shipping_agreement_id = a.agreement_id join rates r on i.shipping_country_rate_id = r.id""",
 )
 def datamart(t: Tables) -> DataFrame:
-    rows = t.stored(log(t), "shipping")
+    rows = log(t)
     rates, agreements, transfers = references(t, rows)
     shipments = shipping.shipping_info(rows, rates, agreements, transfers)
     return plain(

@@ -1,42 +1,10 @@
-"""Size checks and lineage cuts."""
+"""Lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# One task may sort or rank an input of this estimated size or counted length; larger ones take
-# the distributed way.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-ONE_TASK_ROWS = 1_000_000
-
-# Reference tables of at most this many rows are sent to every executor.
-LOOKUP_ROWS = 100_000
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate. No job runs; unknown sources count as huge."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (ONE_TASK_BYTES if limit is None else limit)
-
-
-def has_more_rows(df: DataFrame, rows: int) -> bool:
-    """Whether there are more than ``rows`` rows. Counted in parallel, before any limit."""
-    return df.count() > rows
-
-
-def lookup(table: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """A reference table for the small side of a join: broadcast if its counted rows allow it.
-
-    The large side is then not shuffled for the lookup. A longer table is left to the planner,
-    which sorts and merges. The count is cheap on stored tables; store a derived one first.
-    """
-    return table if has_more_rows(table, max_rows) else F.broadcast(table)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

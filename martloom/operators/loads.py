@@ -82,14 +82,17 @@ def add_counts(
 ) -> DataFrame:
     """Counters plus new counts per key; ``names`` are refreshed from the new rows.
 
-    ``delta`` holds one row per key, already aggregated.
+    Both sides may repeat a key; NULL key parts are equal. Of several new names the greatest is taken.
     """
-    old = existing.select(*keys, F.col(count).alias("_old"), *[F.col(n).alias(f"_old_{n}") for n in names])
-    merged = old.join(delta, list(keys), "full_outer")
-    return merged.select(
-        *keys,
-        *[F.coalesce(n, f"_old_{n}").alias(n) for n in names],
-        (F.coalesce("_old", F.lit(0)) + F.coalesce(count, F.lit(0))).alias(count),
+    columns = [*keys, *names, count]
+    both = existing.select(*columns, F.lit(False).alias("_new")).unionByName(
+        delta.select(*columns, F.lit(True).alias("_new"))
+    )
+    fresh = {n: F.max(F.when(F.col("_new"), F.col(n))) for n in names}
+    kept = {n: F.max(F.when(~F.col("_new"), F.col(n))) for n in names}
+    return both.groupBy(*keys).agg(
+        *[F.coalesce(fresh[n], kept[n]).alias(n) for n in names],
+        F.sum(F.coalesce(count, F.lit(0))).alias(count),
     )
 
 
@@ -111,9 +114,15 @@ def null_key_rows(src: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def increment(src: DataFrame, mark_col: str, after: object, limit: int | None = None) -> DataFrame:
-    """Rows past the mark; with ``limit`` the first page in mark order."""
+    """Rows past the mark; with ``limit`` the first page in mark order, with all rows tied on its last mark.
+
+    The next page starts past that mark, so a tie is never cut.
+    """
     rows = src.where(F.col(mark_col) > F.lit(after))
-    return rows if limit is None else rows.orderBy(mark_col).limit(limit)
+    if limit is None:
+        return rows
+    last = rows.select(mark_col).orderBy(mark_col).limit(limit).agg(F.max(mark_col).alias("last"))
+    return rows.where(F.col(mark_col) <= last.scalar()).orderBy(mark_col)
 
 
 def next_mark(rows: DataFrame, mark_col: str) -> DataFrame:
@@ -169,8 +178,9 @@ def ensure_column(df: DataFrame, name: str, data_type: str, default: object) ->
 
 
 def update_from(target: DataFrame, src: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Set columns of the target from matching source rows; ``src`` has one row per key."""
-    new = src.select(*on, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    """Set columns of the target from matching source rows; of several for a key the greatest counts."""
+    once = src.groupBy(*on).agg(F.max(F.struct(*columns)).alias("_new"))
+    new = once.select(*on, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns])
     joined = target.join(new, list(on), "left")
     return joined.select(
         *[F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in target.columns]

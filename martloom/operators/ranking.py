@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import as_column
-from martloom.operators.lineage import ONE_TASK_ROWS, cut_lineage, fits_one_task, has_more_rows
+from martloom.operators.lineage import cut_lineage
 
 # ``monotonically_increasing_id`` holds the task in the bits above these and the row below.
 ROW_BITS = 33
@@ -65,25 +65,11 @@ def _offsets(placed: DataFrame) -> DataFrame:
     )
 
 
-def global_row_number(
-    df: DataFrame,
-    order_by: Sequence[str],
-    name: str,
-    *,
-    one_task_bytes: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def global_row_number(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Row numbers 1..n over a whole table, ascending and NULLs first.
 
-    An input that is small by estimate or by count is numbered by a plain window. A large one is
-    sorted in parallel, numbered in each task and shifted by the row count of the tasks before.
+    The table is sorted in parallel, numbered in each task and shifted by the row count of the tasks before.
     """
-    number = F.row_number().over(Window.orderBy(*order_by)).cast("long")
-    if fits_one_task(df, one_task_bytes):
-        return df.withColumn(name, number)
-    df = cut_lineage(df)
-    if not has_more_rows(df, one_task_rows):
-        return df.withColumn(name, number)
     placed = _positions(df, order_by)
     # One row per sorting task: always small enough to send around.
     offsets = F.broadcast(_offsets(placed).select("_part", "_before"))
@@ -107,29 +93,13 @@ def _bucket_ends(df: DataFrame, order_by: Sequence[str], buckets: int) -> DataFr
     return found.agg(F.collect_list(F.struct(*order_by)).alias("ends"))
 
 
-def global_ntile(
-    df: DataFrame,
-    scores: dict[str, str],
-    key: str,
-    buckets: int,
-    *,
-    one_task_bytes: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def global_ntile(df: DataFrame, scores: dict[str, str], key: str, buckets: int) -> DataFrame:
     """Adds ``ntile(buckets)`` over the whole table for each ``{new column: metric column}``.
 
-    Ties are ordered by ``key``, which is unique. A large input never meets in one task: a
-    parallel sort of metric and key gives the rows that end each bucket, and every row is then
-    compared with these few where it lies.
+    Ties are ordered by ``key``, which is unique. The rows never meet in one task: a parallel sort of metric and key
+    gives the rows that end each bucket, and every row is then compared with these few where it lies.
     """
-    small = fits_one_task(df, one_task_bytes)
-    if not small:
-        df = cut_lineage(df)
-        small = not has_more_rows(df, one_task_rows)
-    if small:
-        for name, metric in scores.items():
-            df = df.withColumn(name, F.ntile(buckets).over(Window.orderBy(metric, key)))
-        return df
+    df = cut_lineage(df)
     labelled = df
     for name, metric in scores.items():
         ends = _bucket_ends(df.select(metric, key), [metric, key], buckets)

@@ -13,100 +13,66 @@ from martloom.functions.geo import (
     touching_cells,
     unit_vector,
 )
-from martloom.operators.lineage import cut_lineage, has_more_rows
+from martloom.operators.lineage import cut_lineage
 from martloom.operators.ranking import first_per_key
 
-# Places compared with every event inside one expression; more of them take the grid way.
-MAX_LISTED_PLACES = 2_000
-
 # Rows of a (group, cell) that one task meets on either side of the pair join.
 PAIR_BLOCK_ROWS = 20_000
 
 
 def assign_nearest(
-    events: DataFrame,
-    places: DataFrame,
-    event_id: str,
-    *,
-    partition_by: str | None = None,
-    max_listed: int = MAX_LISTED_PLACES,
-    first_km: float = 5.0,
+    events: DataFrame, places: DataFrame, event_id: str, *, partition_by: str | None = None, first_km: float = 5.0
 ) -> DataFrame:
     """Adds ``place_id``, ``city`` and ``distance`` of the nearest place to each event.
 
-    ``events`` has ``lat`` and ``lon``; ``places`` has ``place_id``, ``city``, ``lat_city`` and
-    ``lng_city``. Events without coordinates get NULLs. A counted, bounded list of places rides
-    along as one array and the events are not shuffled; otherwise a grid join is used. With
+    ``events`` has ``lat`` and ``lon``; ``places`` has ``place_id``, ``city``, ``lat_city`` and ``lng_city``. Events
+    without coordinates get NULLs; ids may repeat or be NULL. Equal distances go to the smaller ``place_id``. With
     ``partition_by`` only the row closest to any place is kept per value of that column.
+
+    Distinct coordinates, not events, look for their place, so a crowd at one spot is one row. One plan for any
+    number of places.
     """
-    many = has_more_rows(places, max_listed)
-    located = _nearest_by_grid(events, places, event_id, first_km) if many else _nearest_of_list(events, places)
+    found = _nearest_by_grid(events.select("lat", "lon"), places, first_km)
+    located = events.join(found, ["lat", "lon"], "left").select(*events.columns, "place_id", "city", "distance")
     if partition_by is None:
         return located
     return first_per_key(located, [partition_by], [F.col("distance").asc_nulls_last(), F.col(event_id)])
 
 
-def _nearest_of_list(events: DataFrame, places: DataFrame) -> DataFrame:
-    """Nearest of a short list, found without trigonometry per place.
-
-    Event and places are points in space; the smallest squared chord is the nearest place and
-    only its distance is worked out. Equal distances go to the smaller ``place_id``.
-    """
-    listed = places.select("place_id", "city", "lat_city", "lng_city", unit_vector("lat_city", "lng_city").alias("point"))
-    table = listed.agg(
-        F.array_sort(F.collect_list(F.struct("place_id", "city", "lat_city", "lng_city", "point"))).alias("places")
-    )
-    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    here = F.col("_here")
-    return (
-        events.withColumn("_places", table.scalar())
-        .withColumn("_here", F.when(known, unit_vector("lat", "lon")))
-        .withColumn("_chords", F.transform("_places", lambda p: chord_squared(here, p["point"])))
-        .withColumn("_best", F.get("_places", F.array_position("_chords", F.array_min("_chords")) - 1))
-        .withColumn("place_id", F.col("_best.place_id"))
-        .withColumn("city", F.col("_best.city"))
-        .withColumn("distance", haversine_km("lat", "lon", "_best.lat_city", "_best.lng_city"))
-        .drop("_places", "_here", "_chords", "_best")
-    )
-
-
-def _nearest_by_grid(events: DataFrame, places: DataFrame, event_id: str, first_km: float) -> DataFrame:
-    """Exact nearest place for many places.
+def _nearest_by_grid(spots: DataFrame, places: DataFrame, first_km: float) -> DataFrame:
+    """(lat, lon, place_id, city, distance): exact nearest place of each distinct coordinate pair.
 
-    Each round joins the events still open with the places of the touching cells and settles
+    Each round joins the pairs still open with the places of the touching cells and settles
     those whose best place is within the cell edge: no place outside these cells can be closer.
-    The edge grows fourfold until it spans the globe.
+    The edge grows eightfold until it spans the globe. Places are compared by the squared chord in space; only the
+    winner's distance is worked out.
     """
-    spots = places.select("place_id", "city", "lat_city", "lng_city")
-    pending = events.where("lat is not null and lon is not null").select(F.col(event_id).alias("_id"), "lat", "lon")
+    targets = places.select("place_id", "city", "lat_city", "lng_city", unit_vector("lat_city", "lng_city").alias("_point"))
+    pending = cut_lineage(spots.where("lat is not null and lon is not null").distinct())
     settled: list[DataFrame] = []
     edge = first_km
     while True:
         last = edge >= 2 * EARTH_RADIUS_KM
-        near = spots.withColumn("_cell", F.explode(touching_cells(earth_cell("lat_city", "lng_city", edge))))
+        near = targets.withColumn("_cell", F.explode(touching_cells(earth_cell("lat_city", "lng_city", edge))))
+        chord = chord_squared(F.col("_here"), F.col("_point")).alias("chord")
         best = cut_lineage(
             pending.withColumn("_cell", earth_cell("lat", "lon", edge))
+            .withColumn("_here", unit_vector("lat", "lon"))
             .join(near, "_cell")
-            .groupBy("_id")
-            .agg(
-                F.min(
-                    F.struct(
-                        haversine_km("lat", "lon", "lat_city", "lng_city").alias("distance"), "place_id", "city"
-                    )
-                ).alias("_best")
-            )
+            .groupBy("lat", "lon")
+            .agg(F.min(F.struct(chord, "place_id", "city", "lat_city", "lng_city")).alias("_best"))
+            .withColumn("distance", haversine_km("lat", "lon", "_best.lat_city", "_best.lng_city"))
         )
-        done = best if last else best.where(F.col("_best.distance") <= edge)
+        done = best if last else best.where(F.col("distance") <= edge)
         settled.append(done)
-        pending = cut_lineage(pending.join(done, "_id", "left_anti"))
+        pending = cut_lineage(pending.join(done, ["lat", "lon"], "left_anti"))
         if last or pending.isEmpty():
             break
-        edge *= 4
+        edge *= 8
     found = settled[0]
     for more in settled[1:]:
         found = found.unionAll(more)
-    found = found.select(F.col("_id").alias(event_id), "_best.place_id", "_best.city", "_best.distance")
-    return events.join(found, event_id, "left")
+    return found.select("lat", "lon", "_best.place_id", "_best.city", "distance")
 
 
 def pairs_within_radius(

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martloom.functions.dates import on_day
 from martloom.functions.keys import md5_key
-from martloom.operators.lineage import lookup
 from martloom.operators.vault import KeyFunction, load_hub, load_link, load_satellite
 
 # Code of the currency amounts are converted to, and a transaction type left out.
@@ -36,6 +36,18 @@ def hub_currencies(
     return load_hub(rows, hub, "h_currency_pk", ["currency_code", "date_update"], load_dt, source, key=key)
 
 
+def _nearest_versions(asked: DataFrame, versions: DataFrame) -> DataFrame:
+    """(currency_code, _day, h_currency_pk) for each asked currency and day: all versions of that day, or one other."""
+    same = asked.join(versions, ["currency_code", "_day"])
+    open_ = asked.join(versions, ["currency_code", "_day"], "left_anti")
+    line = versions.unionByName(open_.withColumn("h_currency_pk", F.lit(None).cast(versions.schema["h_currency_pk"].dataType)))
+    days = Window.partitionBy("currency_code").orderBy("_day", "h_currency_pk")
+    before = F.last("h_currency_pk", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("h_currency_pk", ignorenulls=True).over(days.rowsBetween(1, Window.unboundedFollowing))
+    other = line.withColumn("_other", F.coalesce(before, after)).where("h_currency_pk is null and _other is not null")
+    return same.unionByName(other.select("currency_code", "_day", F.col("_other").alias("h_currency_pk")))
+
+
 def link_transaction_currency(
     transactions: DataFrame,
     h_transactions: DataFrame,
@@ -46,16 +58,18 @@ def link_transaction_currency(
     source: str,
     key: KeyFunction = md5_key,
 ) -> DataFrame:
-    """Links of the day's operations to the currency versions of their own day."""
+    """Links of the day's operations to a currency version: of their own day, else the latest before, else the first.
+
+    No operation whose currency has any version is lost; its rate is looked up on its own day later on.
+    """
     rows = (
         transactions.where(on_day("transaction_dt", day))
         .select("operation_id", "currency_code", F.to_date("transaction_dt").alias("_day"))
         .distinct()
     )
-    versions = h_currencies.where(on_day("date_update", day)).select(
-        "currency_code", F.to_date("date_update").alias("_day"), "h_currency_pk"
-    )
-    pairs = rows.join(lookup(versions), ["currency_code", "_day"]).join(
+    versions = h_currencies.select("currency_code", F.to_date("date_update").alias("_day"), "h_currency_pk")
+    nearest = _nearest_versions(rows.select("currency_code", "_day").distinct(), versions)
+    pairs = rows.join(nearest, ["currency_code", "_day"]).join(
         h_transactions.select("operation_id", "h_transaction_pk"), "operation_id"
     )
     keys = ["h_transaction_pk", "h_currency_pk"]
@@ -136,8 +150,8 @@ def daily_currency_metrics(
         .join(accounts_of, "h_transaction_pk")
         .join(amounts, "h_transaction_pk")
         .join(link.select("h_transaction_pk", "h_currency_pk"), "h_transaction_pk")
-        .join(lookup(h_currencies.select("h_currency_pk", "currency_code")), "h_currency_pk")
-        .join(lookup(rates), ["h_currency_pk", "date_update"], "left")
+        .join(h_currencies.select("h_currency_pk", "currency_code"), "h_currency_pk")
+        .join(rates, ["h_currency_pk", "date_update"], "left")
         .groupBy("date_update", "currency_code", "operation_id", "account_number_from")
         .agg(F.min("amount").alias("amount"), F.min("currency_with_div").alias("rate"))
     )

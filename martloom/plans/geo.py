@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martloom.functions.dates import iso_week, iso_year, local_time as to_local_time
 from martloom.functions.text import comma_decimal
 from martloom.operators.runs import consecutive_day_runs
-from martloom.operators.spatial import MAX_LISTED_PLACES, assign_nearest, pairs_within_radius
+from martloom.operators.spatial import assign_nearest, pairs_within_radius
 
 # Fixed value: shortest stay in days that makes a home city.
 HOME_DAYS = 27
@@ -83,7 +83,6 @@ def user_geo_mart(
     tz: str | Column,
     *,
     min_days: int = HOME_DAYS,
-    max_listed: int = MAX_LISTED_PLACES,
 ) -> DataFrame:
     """Per user: actual and home city, travels, and local time of the latest event.
 
@@ -91,7 +90,7 @@ def user_geo_mart(
     are located once and reduced to days and then to stays, which carry their latest event
     along; every column of the mart is an aggregate over a user's stays, with no join.
     """
-    located = assign_nearest(messages, places, "event_id", max_listed=max_listed)
+    located = assign_nearest(messages, places, "event_id")
     runs = consecutive_day_runs(
         located.withColumn("_last", F.struct("ts", "event_id")), STAY_KEYS, "date", latest="_last"
     )
@@ -117,14 +116,14 @@ def user_geo_mart(
 
 
 def zone_activity(
-    events: DataFrame, places: DataFrame, event_types: dict[str, str] = ZONE_EVENTS, *, max_listed: int = MAX_LISTED_PLACES
+    events: DataFrame, places: DataFrame, event_types: dict[str, str] = ZONE_EVENTS
 ) -> DataFrame:
     """Events of each type per zone, for every week and month, side by side.
 
     ``events`` has ``event_id``, ``event_type``, ``lat``, ``lon`` and ``date``. Events are
     counted per zone, week and month first; the windows then run over these few counts.
     """
-    located = assign_nearest(events.where("lat is not null"), places, "event_id", max_listed=max_listed)
+    located = assign_nearest(events.where("lat is not null"), places, "event_id")
     periods = located.select(
         iso_year("date").alias("week_year"),
         iso_week("date").alias("week"),

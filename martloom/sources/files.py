@@ -42,10 +42,10 @@ def read_csv(
 def read_named_csv(spark: SparkSession, path: str | list[str], types: dict[str, str], *, sep: str = ",") -> DataFrame:
     """CSV whose header decides which of the known columns a file has.
 
-    Only the header line is read up front. Unknown columns stay text; a value that does not fit
+    Only the first header line is read up front; a file with another header fails the read. Unknown columns stay text; a value that does not fit
     its type becomes NULL.
     """
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
+    raw = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).csv(path)
     return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 

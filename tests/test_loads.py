@@ -93,3 +93,25 @@ def test_append(spark, tmp_path):
     loads.append(spark.range(3), path)
     loads.append(spark.range(2), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_pages_keep_rows_tied_on_the_mark(spark):
+    src = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d")], "mark int, name string")
+    seen, mark = [], 0
+    while mark is not None:
+        page = loads.increment(src, "mark", mark, 2)
+        seen += [r.name for r in page.collect()]
+        mark = loads.next_mark(page, "mark").first()["mark"]
+    assert sorted(seen) == ["a", "b", "c", "d"]
+
+
+def test_add_counts_with_null_and_repeated_keys(spark):
+    old = spark.createDataFrame([("u", 1), (None, 2)], "k string, n long")
+    new = spark.createDataFrame([("u", 2), ("u", 3), (None, 1)], "k string, n long")
+    assert rows(loads.add_counts(old, new, ["k"], "n")) == sorted([("u", 6), (None, 3)], key=repr)
+
+
+def test_update_from_a_repeated_source_key(spark):
+    target = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    src = spark.createDataFrame([(1, "p"), (1, "q")], "k int, v string")
+    assert rows(loads.update_from(target, src, ["k"], ["v"])) == [(1, "q"), (2, "y")]

@@ -66,8 +66,7 @@ def test_crowd_at_one_point_gives_every_pair(spark):
     assert got.count() == 60 * 59 // 2
 
 
-@pytest.mark.parametrize("max_listed", [0, 100])
-def test_nearest_equals_brute_force(spark, max_listed):
+def test_nearest_equals_brute_force(spark):
     rng = random.Random(5)
     places = [(i, f"c{i}", rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(30)]
     events = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)] + [(999, None, 10.0)]
@@ -75,7 +74,6 @@ def test_nearest_equals_brute_force(spark, max_listed):
         spark.createDataFrame(events, "event_id int, lat double, lon double"),
         spark.createDataFrame(places, "place_id int, city string, lat_city double, lng_city double"),
         "event_id",
-        max_listed=max_listed,
         first_km=300.0,
     )
     found = {r["event_id"]: (r["place_id"], r["distance"]) for r in got.collect()}
@@ -85,9 +83,18 @@ def test_nearest_equals_brute_force(spark, max_listed):
         assert found[i][0] == best[1] and found[i][1] == pytest.approx(best[0])
 
 
-def test_nearest_without_shuffle_for_a_short_list(spark):
-    events = spark.range(100).select(F.col("id").alias("event_id"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"))
-    places = spark.createDataFrame([(1, "a", 0.0, 0.0)], "place_id int, city string, lat_city double, lng_city double")
-    plan = assign_nearest(events, places, "event_id")._jdf.queryExecution().executedPlan().toString()
-    main = plan.split("Subquery")[0]
-    assert "Exchange" not in main and "CartesianProduct" not in plan and "NestedLoop" not in plan
+def test_nearest_with_repeated_and_null_ids(spark):
+    places = spark.createDataFrame([(1, "A", 10.0, 10.0), (2, "B", 50.0, 50.0)], "place_id int, city string, lat_city double, lng_city double")
+    events = spark.createDataFrame([(1, 10.0, 10.0), (1, 50.0, 50.0), (None, 10.0, 10.0), (2, None, None)], "event_id int, lat double, lon double")
+    got = assign_nearest(events, places, "event_id")
+    assert rows(got, "event_id", "lat", "city") == [(1, 10.0, "A"), (1, 50.0, "B"), (2, None, None), (None, 10.0, "A")]
+
+
+def test_nearest_keeps_one_plan_beyond_two_thousand_places(spark):
+    grid = [(i, f"c{i}", (i % 60) - 30.0, (i // 60) - 20.0) for i in range(2400)]
+    places = spark.createDataFrame(grid, "place_id int, city string, lat_city double, lng_city double")
+    events = spark.createDataFrame([(1, 0.2, 0.1), (1, -29.9, 19.2), (None, 0.2, 0.1)], "event_id int, lat double, lon double")
+    got = assign_nearest(events, places, "event_id")
+    near = lambda lat, lon: min(grid, key=lambda p: (km(lat, lon, p[2], p[3]), p[0]))[1]
+    found = {(r.lat, r.lon): r.city for r in got.collect()}
+    assert found == {(0.2, 0.1): near(0.2, 0.1), (-29.9, 19.2): near(-29.9, 19.2)} and got.count() == 3
