@@ -160,16 +160,13 @@ def first_basis(lengths: np.ndarray, demand: np.ndarray, width: int) -> tuple[np
     return columns, used, inverse
 
 
-def solve_patterns(lengths: np.ndarray, demand: np.ndarray, width: int, rounds: int = 1000, gap: float = 1e-3):
-    """[(pattern counts, times)] that hold ``demand`` exactly.
+def solve_program(lengths: np.ndarray, demand: np.ndarray, width: int, rounds: int = 1000, gap: float = 1e-3):
+    """Columns of patterns, their fractional use, and a lower bound on the sum of any such use.
 
     Column generation by the revised simplex method. Prices are drawn towards the best bound's so that they do not
     swing. It ends when the bound is within ``gap`` or after ``rounds`` columns; every basis on the way is feasible,
     so stopping early costs padding, never pieces.
     """
-    m = len(lengths)
-    if not m:
-        return []
     columns, used, inverse = first_basis(lengths, demand, width)
     best, bound = lengths / width, float(lengths @ demand) / width  # the size of the material is a first bound
     for _ in range(rounds):
@@ -196,6 +193,14 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, width: int, rounds:
         inverse = inverse - np.outer(step, pivot)
         inverse[out] = pivot
         columns[:, out] = pattern
+    return columns, used, bound
+
+
+def solve_patterns(lengths: np.ndarray, demand: np.ndarray, width: int) -> list[tuple[np.ndarray, int]]:
+    """[(pattern counts, times)] that hold ``demand`` exactly: the program's use rounded down, then filled up."""
+    if not len(lengths):
+        return []
+    columns, used, _ = solve_program(lengths, demand, width)
     left, plan = demand.astype(int).copy(), []
     for j in np.argsort(-used):
         pattern = columns[:, j].astype(int)
@@ -203,7 +208,7 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, width: int, rounds:
         if times > 0:
             plan.append((pattern, times))
             left -= pattern * times
-    while left.any():  # what rounding left: at most about m sequences
+    while left.any():  # what rounding left: at most about one sequence per length
         pattern = fill_exactly(lengths, left, width)
         times = int((left[pattern > 0] // pattern[pattern > 0]).min())
         plan.append((pattern, times))
