@@ -3,8 +3,9 @@
 A shingle's weight is its count in the text times the mean inverse document frequency of its words, which are counted
 over all documents in a fixed number of hashed cells. Samples (shingle, level) of two texts agree with the probability
 of their weighted Jaccard similarity. Bands of samples give buckets; in a bucket every text is compared with one
-leader, and texts of a bucket that are still in different classes are compared with each other. Only the exact weighted
-Jaccard similarity makes a link; linked texts form classes.
+leader, and texts of a bucket that are still in different classes are compared with each other, unless the shingles that
+a text shares with any other weigh too little for a link. Only the exact weighted Jaccard similarity makes a link;
+linked texts form classes.
 """
 
 from __future__ import annotations
@@ -149,6 +150,27 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
     return made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("weight", "bands", "samples")))
 
 
+def own_weights(texts: DataFrame, idf) -> DataFrame:
+    """(digest, own): the weight of the shingles that no other of these texts has; texts without any have no row.
+
+    What a text has in common with another one is at most the rest, which bounds their similarity.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh = Weigher(idf.value)
+        for batch in chunks(batches, 16):
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            found = [weigh(t) for t in texts]
+            rows = np.repeat(np.arange(len(texts)), [len(s) for s, _ in found])
+            shingles, weights = (np.concatenate(c) for c in zip(*found, strict=True))
+            columns = [pa.array(shingles.view(np.int64)), keys.take(pa.array(rows)), pa.array(weights.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "digest", "weight"])
+
+    each = texts.select("digest", "text").mapInArrow(run, "shingle long, digest binary, weight double")
+    once = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"), F.first("weight").alias("weight"))
+    return once.where("n = 1").groupBy("digest").agg(F.sum("weight").alias("own"))
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): pairs of digests whose weighted Jaccard similarity reaches ``similarity``, enough of them
     to connect every class: all pairs of a bucket that others do not connect already are compared.
@@ -191,10 +213,17 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     placed = shared.select("bucket", "digest").join(settled, "digest", "left").select("bucket", "digest", label)
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     # Texts of one bucket in different classes; each class of a bucket is compared with the others, leaders again not.
-    open_ = stored(placed.join(mixed.select("bucket"), "bucket").join(signed.select("digest", "weight", "samples"), "digest"), "open-buckets")
-    x, y = open_.alias("x"), open_.alias("y")
+    mixed_rows = placed.join(mixed.select("bucket"), "bucket").join(signed.select("digest", "weight", "samples"), "digest")
+    open_ = stored(mixed_rows, "open-buckets")
+    lone = own_weights(texts.join(open_.select("digest").distinct(), "digest", "left_semi"), idf)
+    common = F.col("weight") - F.coalesce("own", F.lit(0.0))
+    reach = open_.join(lone, "digest", "left").withColumn("common", common).where(common >= similarity * 0.9999 * F.col("weight"))
+    reach = stored(reach, "open-texts")
+    x, y = reach.alias("x"), reach.alias("y")
     agree = F.size(F.filter(F.zip_with("x.samples", "y.samples", lambda p, q: p == q), lambda s: s))
+    needed = similarity * 0.9999 / (1 + similarity) * (F.col("x.weight") + F.col("y.weight"))
     close = (F.col("x.digest") < F.col("y.digest")) & (F.col("x.label") != F.col("y.label")) & near(F.col("x.weight"), F.col("y.weight"))
+    close = close & (F.least("x.common", "y.common") >= needed)
     across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close & (agree >= CLOSE_SAMPLES))
     rest = across.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     second = stored(compare(rest.withColumn("extra", F.lit(0)), texts, measure, "similarity double"), "cross-links")
