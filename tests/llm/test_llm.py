@@ -265,6 +265,22 @@ def test_near_duplicates_against_all_pairs(spark, docs, edges, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_own_weights_bound_what_texts_share(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if rng.random() > 0.02 * i else f"x{i}y{j}" for j, w in enumerate(base)) for i in range(6)] + ["apart", "one two"]
+    idf = spark.sparkContext.broadcast(np.ones(near_dedup.CELLS, np.float32))
+    frame = spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "digest binary, text string")
+    own = {int(bytes(r.digest)): r.own for r in near_dedup.own_weights(frame, idf).collect()}
+    weighed = [dict(zip(*near_dedup.Weigher(idf.value)(t), strict=True)) for t in texts]
+    for i, mine in enumerate(weighed):
+        others = {k for j, w in enumerate(weighed) if j != i for k in w}
+        assert own.get(i, 0) == pytest.approx(sum(v for k, v in mine.items() if k not in others))
+        for j, w in enumerate(weighed):
+            shared = sum(min(v, w[k]) for k, v in mine.items() if k in w)
+            assert i == j or shared <= sum(mine.values()) - own.get(i, 0) + 1e-4
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     dice, sample = np.random.default_rng(3), near_dedup.Sampler(2000)
     keys, weights = np.sort(dice.integers(0, 1 << 63, 300, dtype=np.uint64)), dice.uniform(1, 9, 300).astype(np.float32)
