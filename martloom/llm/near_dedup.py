@@ -3,9 +3,9 @@
 A shingle's weight is its count in the text times the mean inverse document frequency of its words, which are counted
 over all documents in a fixed number of hashed cells. Samples (shingle, level) of two texts agree with the probability
 of their weighted Jaccard similarity. Bands of samples give buckets; in a bucket every text is compared with one
-leader, and texts of a bucket that are still in different classes are compared with each other, unless the shingles that
-a text shares with any other weigh too little for a link. Only the exact weighted Jaccard similarity makes a link;
-linked texts form classes.
+leader. Texts of a bucket that are still in different classes are compared with each other where both have one of the
+rare shingles that any two similar texts share, unless what a text shares with any other weighs too little for a link.
+Only the exact weighted Jaccard similarity makes a link; linked texts form classes.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import chunks, mix, shingle_hashes, stored, whole_text, word_table
@@ -150,11 +150,8 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
     return made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("weight", "bands", "samples")))
 
 
-def own_weights(texts: DataFrame, idf) -> DataFrame:
-    """(digest, own): the weight of the shingles that no other of these texts has; texts without any have no row.
-
-    What a text has in common with another one is at most the rest, which bounds their similarity.
-    """
+def shingle_rows(texts: DataFrame, idf) -> DataFrame:
+    """(shingle, digest, weight) of every shingle of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh = Weigher(idf.value)
@@ -166,14 +163,40 @@ def own_weights(texts: DataFrame, idf) -> DataFrame:
             columns = [pa.array(shingles.view(np.int64)), keys.take(pa.array(rows)), pa.array(weights.astype(np.float64))]
             yield pa.RecordBatch.from_arrays(columns, names=["shingle", "digest", "weight"])
 
-    each = texts.select("digest", "text").mapInArrow(run, "shingle long, digest binary, weight double")
+    return texts.select("digest", "text").mapInArrow(run, "shingle long, digest binary, weight double")
+
+
+def own_weights(texts: DataFrame, idf) -> DataFrame:
+    """(digest, own): the weight of the shingles that no other of these texts has; texts without any have no row.
+
+    What a text has in common with another one is at most the rest, which bounds their similarity.
+    """
+    each = shingle_rows(texts, idf)
     once = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"), F.first("weight").alias("weight"))
     return once.where("n = 1").groupBy("digest").agg(F.sum("weight").alias("own"))
 
 
+def rare_shingles(texts: DataFrame, idf, similarity: float) -> DataFrame:
+    """(shingle, digest, short): the rare shingles of each text; two similar texts of these have one in common.
+
+    All texts order their shingles alike, by how many texts have them. From the first shingle that two similar texts
+    share, both must have enough weight left for all they share, so it is not far down either list. ``short`` marks the
+    shingles that the lighter text of a pair needs; the heavier one needs all that are given.
+    """
+    each = shingle_rows(texts, idf)
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    last_first = Window.partitionBy("digest").orderBy(F.desc("n"), F.desc("shingle"))  # a window holds one text
+    left = F.sum("weight").over(last_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum("weight").over(Window.partitionBy("digest"))
+    ordered = each.join(held, "shingle").select("shingle", "digest", "n", (left / total).alias("left"))
+    short = (F.col("left") >= 2 * similarity / (1 + similarity) * 0.9999).alias("short")
+    return ordered.where((F.col("n") > 1) & (F.col("left") >= similarity * 0.9999)).select("shingle", "digest", short)
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): pairs of digests whose weighted Jaccard similarity reaches ``similarity``, enough of them
-    to connect every class: all pairs of a bucket that others do not connect already are compared.
+    to connect every class: pairs of a bucket that others do not connect already are compared if they share a rare
+    shingle, as all similar ones do.
     """
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # CELLS numbers
@@ -218,14 +241,22 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lone = own_weights(texts.join(open_.select("digest").distinct(), "digest", "left_semi"), idf)
     common = F.col("weight") - F.coalesce("own", F.lit(0.0))
     reach = open_.join(lone, "digest", "left").withColumn("common", common).where(common >= similarity * 0.9999 * F.col("weight"))
-    reach = stored(reach, "open-texts")
-    x, y = reach.alias("x"), reach.alias("y")
+    alone = reach.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("label", "weight", "samples", "common")), F.collect_set("bucket").alias("buckets"))
+    alone = stored(alone, "open-texts")
+    rare = rare_shingles(texts.join(alone.select("digest"), "digest", "left_semi"), idf, similarity)
+    lists = rare.groupBy("digest").agg(F.collect_list("shingle").alias("rare"), F.collect_list(F.when(F.col("short"), F.col("shingle"))).alias("short"))
+    listed = stored(alone.join(lists, "digest").withColumn("bucket", F.explode("buckets")), "rare-shingles")
+    x, y = listed.alias("x"), listed.alias("y")
     agree = F.size(F.filter(F.zip_with("x.samples", "y.samples", lambda p, q: p == q), lambda s: s))
     needed = similarity * 0.9999 / (1 + similarity) * (F.col("x.weight") + F.col("y.weight"))
-    close = (F.col("x.digest") < F.col("y.digest")) & (F.col("x.label") != F.col("y.label")) & near(F.col("x.weight"), F.col("y.weight"))
-    close = close & (F.least("x.common", "y.common") >= needed)
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close & (agree >= CLOSE_SAMPLES))
-    rest = across.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    close = (F.struct("x.weight", "x.digest") < F.struct("y.weight", "y.digest")) & (F.col("x.label") != F.col("y.label"))
+    close = close & near(F.col("x.weight"), F.col("y.weight")) & (F.least("x.common", "y.common") >= needed)
+    once = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")  # a pair meets in one bucket
+    close = close & (agree >= CLOSE_SAMPLES) & once & F.arrays_overlap("x.short", "y.rare")
+    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close).select(
+        F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")
+    )
+    rest = across.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     second = stored(compare(rest.withColumn("extra", F.lit(0)), texts, measure, "similarity double"), "cross-links")
     return first.unionByName(second)
 

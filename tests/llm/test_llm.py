@@ -281,6 +281,26 @@ def test_own_weights_bound_what_texts_share(spark):
             assert i == j or shared <= sum(mine.values()) - own.get(i, 0) + 1e-4
 
 
+def test_similar_texts_share_a_rare_shingle(spark):
+    rng, base = np.random.default_rng(8), [f"w{i}" for i in range(200)]
+    edits = [" ".join(w if rng.random() > 0.004 * (i % 8) else f"x{rng.integers(2)}" for w in base) for i in range(24)]
+    texts = edits + [t + " tail end" for t in edits[:6]] + ["one two", "apart from all the others"]
+    idf = spark.sparkContext.broadcast(np.ones(near_dedup.CELLS, np.float32))
+    frame = spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "digest binary, text string")
+    rare, short = defaultdict(set), defaultdict(set)
+    for r in near_dedup.rare_shingles(frame, idf, 0.8).collect():
+        rare[int(bytes(r.digest))].add(r.shingle)
+        if r.short:
+            short[int(bytes(r.digest))].add(r.shingle)
+    weighed = [near_dedup.Weigher(idf.value)(t) for t in texts]
+    near = 0
+    for i, x in enumerate(weighed):
+        for j, y in enumerate(weighed):
+            if i != j and x[1].sum() <= y[1].sum() and near_dedup.weighted_jaccard(x, y) >= 0.8:
+                near += 1
+                assert short[i] & rare[j]
+    assert near > 30
+
 def test_samples_agree_as_often_as_texts_are_similar():
     dice, sample = np.random.default_rng(3), near_dedup.Sampler(2000)
     keys, weights = np.sort(dice.integers(0, 1 << 63, 300, dtype=np.uint64)), dice.uniform(1, 9, 300).astype(np.float32)
