@@ -89,11 +89,11 @@ def load_with_rejects(
     lines = spark.read.text(path)
     checked = StructType([*schema.fields, StructField(REJECT_COLUMN, StringType())])
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN}
-    parsed = lines.select(
-        "value", F.from_csv("value", checked.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("_row")
-    )
+    quoted = {f.name: "`" + f.name.replace("`", "``") + "`" for f in checked.fields}
+    ddl = ", ".join(f"{quoted[f.name]} {f.dataType.simpleString()}" for f in checked.fields)
+    parsed = lines.select("value", F.from_csv("value", ddl, options).alias("_row"))
     rejected = F.col(f"_row.{REJECT_COLUMN}").isNotNull()
-    good = parsed.where(~rejected).select(*[F.col(f"_row.{f.name}") for f in schema.fields])
+    good = parsed.where(~rejected).select(*[F.col(f"_row.{quoted[f.name]}") for f in schema.fields])
     return good, parsed.where(rejected).select(F.col("value").alias("line"))
 
 

@@ -27,6 +27,16 @@ def test_rejected_lines_are_kept(spark, tmp_path):
     assert [r["line"][0] for r in rejected.orderBy("line").collect()] == ["b", "c", "d"]
 
 
+def test_rejects_keep_field_names_with_signs_and_blanks(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("1;x\nno;y\n")
+    names = ["sum: net", "a`b.c"]
+    schema = StructType([StructField(names[0], IntegerType()), StructField(names[1], StringType())])
+    good, rejected = files.load_with_rejects(spark, str(path), schema)
+    assert good.columns == names and [tuple(r) for r in good.collect()] == [(1, "x")]
+    assert [r["line"] for r in rejected.collect()] == ["no;y"]
+
+
 def test_increment_without_status_and_with_repeats(spark, tmp_path):
     folder = tmp_path / "2021-01-01"
     folder.mkdir()
