@@ -332,6 +332,38 @@ def test_repeated_passages_against_brute_force(docs, edges, none):
     assert substring_dedup.repeated_passages(none).count() == 0
 
 
+def test_passages_hidden_from_the_ends_of_a_group(spark):
+    fresh = (f"z{i}" for i in range(1_000_000))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    lines, sets = [take(16) for _ in range(12)], []
+    rows = [(i, " ".join([*take(40), *lines[i % 12], *take(40)])) for i in range(120)]
+    dice = np.random.default_rng(12)
+    while len(sets) < 20:
+        own = dice.choice(12, 4, replace=False).tolist()
+        if all(len(set(own) & set(x)) <= 2 for x in sets):
+            sets.append(own)
+    wanted = {}
+    for i, own in enumerate(sets):  # two texts share a passage of frequent lines
+        passage = [w for x in own for w in lines[x]]
+        for j, k in ((200 + 2 * i, 201 + 2 * i), (201 + 2 * i, 200 + 2 * i)):
+            rows.append((j, " ".join([*take(40), *passage, *take(40)])))
+            wanted[j] = k
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.partner_id for r in found} == wanted and {r.n_links for r in found} == {1}
+    assert len({r.class_id for r in found}) == len(sets)
+
+
+def test_every_occurrence_of_a_passage_is_reported(spark):
+    fresh = (f"z{i}" for i in range(1_000_000))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    rows = []
+    for i in range(12):
+        passage = take(80)
+        rows += [(2 * i, " ".join([*passage, *take(60), *passage])), (2 * i + 1, " ".join([*take(9), *passage, *take(9)]))]
+    found = plain(substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "start_word", "end_word")
+    assert found == sorted([x for i in range(12) for x in ((2 * i, 0, 80), (2 * i, 140, 220), (2 * i + 1, 9, 89))], key=repr)
+
+
 def test_word_tables_equal_words_of_single_texts():
     texts = ["", " a b", "A  b\n", "x" * 700 + " y", "\t"]
     ids, bounds = word_table(texts)
