@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from math import comb
 
 import numpy as np
 import pytest
@@ -21,7 +22,7 @@ from martloom.llm import (
     token_counts,
     toxicity,
 )
-from martloom.llm.common import shingle_table, word_table
+from martloom.llm.common import mix, shingle_table, word_table
 
 FOLDER = "/root/testdata/sf0.001"
 EDGES = "doc_id long, text string, lang string, source string, n_chars long, key long, digest string, label int, row int"
@@ -364,6 +365,18 @@ def test_every_occurrence_of_a_passage_is_reported(spark):
     assert found == sorted([x for i in range(12) for x in ((2 * i, 0, 80), (2 * i, 140, 220), (2 * i + 1, 9, 89))], key=repr)
 
 
+def test_recall_of_passages_at_the_threshold():
+    chance = substring_dedup.SIMILARITY
+    n, enough = substring_dedup.FUNCTIONS, substring_dedup.ENOUGH
+    assert sum(comb(n, k) * chance**k * (1 - chance) ** (n - k) for k in range(enough, n + 1)) > 0.97
+    dice, met = np.random.default_rng(21), 0
+    for _ in range(400):  # shingles of which 8 of 10 in the union are common to both passages
+        x = dice.integers(1, 1 << 63, 90, dtype=np.uint64)
+        y = np.r_[x[:80], dice.integers(1, 1 << 63, 10, dtype=np.uint64)]
+        met += sum(mix(x, 100 + f).min() == mix(y, 100 + f).min() for f in range(n)) >= enough
+    assert met / 400 > 0.95
+
+
 def test_word_tables_equal_words_of_single_texts():
     texts = ["", " a b", "A  b\n", "x" * 700 + " y", "\t"]
     ids, bounds = word_table(texts)
