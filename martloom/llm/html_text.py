@@ -44,26 +44,35 @@ BOILERPLATE_WORDS = frozenset(
     "recommended related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "taboola tags teaser toolbar widget complementary contentinfo search".split()
 )
+#: What follows these words in a name is not what the element is.
+MODIFIERS = frozenset("has with without no".split())
 ARTICLES = frozenset(("article", "main"))
 PUNCTUATION = re.compile(r"[.,;:!?\"'()…、。，！？¿¡«»-]")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An element: its place in the tree, its tag with marks, and whether it is boilerplate."""
+    """An element: its place in the tree, its tag with marks, and whether its tag or its names are those of boilerplate."""
 
-    __slots__ = ("parent", "tag", "path", "dropped", "article", "link", "value")
+    __slots__ = ("parent", "tag", "path", "dropped", "named", "article", "link", "value", "size")
 
     def __init__(self, parent: Node | None, tag: str, marks: list[str]):
         self.parent, self.tag, self.value = parent, tag, 0.0
         self.path = (parent.path if parent else "") + "/" + ".".join([tag, *marks])
         self.link = tag == "a" or bool(parent and parent.link)
         self.article = tag in ARTICLES or bool(parent and parent.article)
-        words = {w for m in marks for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", m).lower()) if w}
         own = tag in BOILERPLATE_TAGS or tag == "header" and not (parent and parent.article)
-        if words & BOILERPLATE_WORDS and tag not in ("html", "body", *ARTICLES):
-            own = True
-        self.dropped = own or bool(parent and parent.dropped)
+        self.dropped, self.size = own or bool(parent and parent.dropped), 0
+        self.named = 0 if tag in ("html", "body", *ARTICLES) else max(map(boilerplate_name, marks), default=0)
+
+
+def boilerplate_name(name: str) -> int:
+    """2 if a class or id is a boilerplate word, 1 if it is compound with one; ``has-sidebar`` tells of a sidebar elsewhere."""
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    if len(words) == 1:
+        return 2 * (words[0] in BOILERPLATE_WORDS)
+    about = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
+    return int(not BOILERPLATE_WORDS.isdisjoint(words[:about]))
 
 
 def text_nodes(page: str) -> list[tuple[Node, int, str]]:
@@ -142,9 +151,38 @@ def path_scores(nodes: list[tuple[Node, int, str]], radius: int = 2) -> tuple[np
     return score, 0.5 * float((score * size).sum() / max(size.sum(), 1))
 
 
+def outside_boilerplate(nodes: list[tuple[Node, int, str]]) -> list[tuple[Node, int, str]]:
+    """The nodes in no element that is boilerplate by tag or name.
+
+    A compound name does not count for an element that holds most of the page's text, nor a plain one where nothing
+    else would be left.
+    """
+    nodes = [x for x in nodes if not x[0].dropped]
+    total = 0
+    for node, _, t in nodes:
+        size, up = len(t.strip()), node
+        total += size
+        while up:
+            up.size += size
+            up = up.parent
+
+    def kept(wrappers: bool) -> list[tuple[Node, int, str]]:
+        out = []
+        for x in nodes:
+            up = x[0]
+            while up and not (up.named and not (2 * up.size > total and (wrappers or up.named == 1))):
+                up = up.parent
+            if not up:
+                out.append(x)
+        return out
+
+    found = kept(False)
+    return found if any(t.strip() for _, _, t in found) else kept(True)
+
+
 def main_text(page: str) -> str:
     """The article's text, one block to a line; empty if there is none."""
-    nodes = [x for x in text_nodes(page) if not x[0].dropped]
+    nodes = outside_boilerplate(text_nodes(page))
     if not any(t.strip() for _, _, t in nodes):
         return ""
     score, threshold = path_scores(nodes)
@@ -157,12 +195,13 @@ def main_text(page: str) -> str:
             up = up.parent
     options = [n for n in seen.values() if n.tag in ARTICLES and n.value > 0] or list(seen.values())
     best = max(options, key=lambda n: (n.value, n.path.count("/")))
+    prose = {block for node, block, t in nodes if not node.link and any(map(str.isalnum, t))}  # blocks with text outside links
     lines: dict[int, list[str]] = {}
     for (node, block, t), s in zip(nodes, score, strict=True):
         up = node
         while up and up is not best:
             up = up.parent
-        if up and not (s < 0.25 * threshold and node.link):
+        if up and (block in prose or not (s < 0.25 * threshold and node.link)):
             lines.setdefault(block, []).append(t)
     cleaned = (SPACE.sub(" ", "".join(parts)).strip() for parts in lines.values())
     return "\n".join(x for x in cleaned if x)

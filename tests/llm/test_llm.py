@@ -205,6 +205,17 @@ def test_article_without_boilerplate(spark):
     assert (2, 0) in got and (None, 0) in got and (4, 12) in got and len(got) == 4
 
 
+def test_short_links_and_wrappers_stay_in_the_article():
+    words = "The city council met again on Monday, and the members talked about roads, schools and water for hours. "
+    linked = f"{words * 2}Most of them had come from <a href=/p>Paris</a> by train. {words}"
+    page = "<html><body><article>" + f"<p>{linked}</p>" * 4 + "</article></body></html>"
+    assert html_text.main_text(page).count("from Paris by train") == 4
+    for name in ("content has-sidebar", "with-sidebar", "page-header-layout", "widget"):
+        wrapped = f"<html><body><div class='{name}'>" + f"<p>{words * 3}</p>" * 4 + "</div><div class='sidebar'>Top, news.</div></body></html>"
+        assert html_text.main_text(wrapped).count("council") == 12 and "Top" not in html_text.main_text(wrapped)
+    assert html_text.main_text(page.replace("</article>", "<div class='comments'><p>Nice one, thanks!</p></div></article>")) == html_text.main_text(page)
+
+
 # benchmark -------------------------------------------------------------------------------------------------------------
 
 
