@@ -39,7 +39,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences."""
-    return packing.pack_documents(docs, queries.vocabulary("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, queries.vocabulary("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [

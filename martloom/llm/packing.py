@@ -8,6 +8,7 @@ length are numbered across tasks by per-task offsets, and a rest's number says i
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,11 @@ class ChunkEncoder:
         import tiktoken
 
         with open(vocabulary, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            read = json.load(f)
+        vocab = read["model"]["vocab"]
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in read.get("added_tokens", [])}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {chr(b): b for b in plain}
         shown.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))})
@@ -53,6 +58,12 @@ class ChunkEncoder:
     def one(self, text: str) -> bytes:
         return np.array(self.encode(text), "<u4").tobytes()
 
+    def with_added(self, text: str) -> bytes:
+        """The ids where a literal added token of the vocabulary file has its own id, as in the ``tokenizers`` library."""
+        if self.split is None or not any(t in text for t in self.added):
+            return self(text)
+        return b"".join(self.added[t] if t in self.added else self(t) for t in self.split.split(text) if t)
+
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if "  " in text:
@@ -82,13 +93,14 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PIECE_TYPES = pa.schema([(c.split()[0], pa.int64()) for c in PIECE.split(", ")])
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, width: int = WIDTH, step: int = STEP) -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, width: int = WIDTH, step: int = STEP, added_tokens: bool = False) -> DataFrame:
     """Pieces of at most ``width`` ids with the task that made them and their number among its pieces of that rounded length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part, seen = encoder(vocabulary), TaskContext.get().partitionId(), {}
+        own = encoder(vocabulary)
+        encode, part, seen = own.with_added if added_tokens else own, TaskContext.get().partitionId(), {}
         for batch in chunks(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -253,16 +265,17 @@ def slot_rows(sizes: np.ndarray, plan: list, first_sequence: int) -> list[tuple[
     return rows
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, width: int = WIDTH, step: int = STEP) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, width: int = WIDTH, step: int = STEP, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``vocabulary`` is the path of a byte-level BPE file that every executor can read. A null text is empty and gives
     the single end id. Repeated rows are packed once each; a null doc_id stays null. An empty table gives no rows.
     Sequences are numbered from 0 without gaps: full ones first. Lengths are rounded up to ``step`` for the program
     only (it then has ``width / step`` rows); pieces still lie next to each other.
+    With ``added_tokens`` a literal added token in a text has its own id; else it is encoded as plain text.
     """
     size = F.least(F.ceil(F.col("length") / step) * step, F.lit(width)).cast("long")
-    pieces = stored(cut_pieces(docs, vocabulary, width, step).withColumn("size", size), "pieces")
+    pieces = stored(cut_pieces(docs, vocabulary, width, step, added_tokens).withColumn("size", size), "pieces")
     by_part = stored(pieces.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     before = F.sum("n").over(Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = by_part.select("size", "part", F.coalesce(before, F.lit(0)).alias("before"))

@@ -52,7 +52,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), added_tokens=True)
 
 
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:

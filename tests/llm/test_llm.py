@@ -102,6 +102,19 @@ def test_packing_round_trip(spark, docs, none):
     assert packing.pack_documents(none, vocabulary).count() == 0
 
 
+def test_query_gives_literal_added_tokens_their_id(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    vocabulary = queries.vocabulary("byte_bpe_50k.json")
+    own = Tokenizer.from_file(vocabulary)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext| >", "plain text"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in queries.op6_packing(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert got[i] == (zlib.crc32(ids.tobytes()), len(ids))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_patterns_hold_every_piece(seed):
     dice = np.random.default_rng(seed)
