@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.geo import (
@@ -13,15 +13,23 @@ from martloom.functions.geo import (
     touching_cells,
     unit_vector,
 )
-from martloom.operators.lineage import cut_lineage
 from martloom.operators.ranking import first_per_key
 
 # Rows of a (group, cell) that one task meets on either side of the pair join.
 PAIR_BLOCK_ROWS = 20_000
 
+# Places of a cell that one task compares a coordinate pair with.
+PLACE_BLOCK_ROWS = 20_000
+
 
 def assign_nearest(
-    events: DataFrame, places: DataFrame, event_id: str, *, partition_by: str | None = None, first_km: float = 5.0
+    events: DataFrame,
+    places: DataFrame,
+    event_id: str,
+    *,
+    partition_by: str | None = None,
+    first_km: float = 5.0,
+    block_rows: int = PLACE_BLOCK_ROWS,
 ) -> DataFrame:
     """Adds ``place_id``, ``city`` and ``distance`` of the nearest place to each event.
 
@@ -30,49 +38,77 @@ def assign_nearest(
     ``partition_by`` only the row closest to any place is kept per value of that column.
 
     Distinct coordinates, not events, look for their place, so a crowd at one spot is one row. One plan for any
-    number of places.
+    number of places, and nothing runs before the caller's own action.
     """
-    found = _nearest_by_grid(events.select("lat", "lon"), places, first_km)
+    found = _nearest(events.select("lat", "lon"), places, _edges(first_km), block_rows)
     located = events.join(found, ["lat", "lon"], "left").select(*events.columns, "place_id", "city", "distance")
     if partition_by is None:
         return located
     return first_per_key(located, [partition_by], [F.col("distance").asc_nulls_last(), F.col(event_id)])
 
 
-def _nearest_by_grid(spots: DataFrame, places: DataFrame, first_km: float) -> DataFrame:
+def _edges(first_km: float) -> list[float]:
+    """Edges of the pyramid's grids in km, each four times the last, until all of the globe touches."""
+    edges = [first_km]
+    while edges[-1] < 2 * EARTH_RADIUS_KM:
+        edges.append(edges[-1] * 4)
+    return edges
+
+
+def _cells(lat: str, lon: str, edges: list[float]) -> Column:
+    """(level, cell) of a point in each grid."""
+    cells = [F.struct(F.lit(i).alias("level"), earth_cell(lat, lon, edge).alias("cell")) for i, edge in enumerate(edges)]
+    return F.array(*cells)
+
+
+def _nearest(spots: DataFrame, places: DataFrame, edges: list[float], block_rows: int) -> DataFrame:
     """(lat, lon, place_id, city, distance): exact nearest place of each distinct coordinate pair.
 
-    Each round joins the pairs still open with the places of the touching cells and settles
-    those whose best place is within the cell edge: no place outside these cells can be closer.
-    The edge grows eightfold until it spans the globe. Places are compared by the squared chord in space; only the
-    winner's distance is worked out.
+    The places alone make a pyramid: for every edge, the cells with a place in one of their touching cells, and one
+    such place. A coordinate pair meets the cells it lies in, one an edge, and the closest of their places bounds its
+    distance. No place within this bound lies outside the touching cells of the finest grid whose edge is not below
+    the bound, so a second join in this one grid meets all places that can win.
+
+    A cell with many places is cut into blocks that meet a coordinate pair in different tasks. Places are compared by
+    the squared chord in space; only the winner's distance is worked out.
     """
     targets = places.select("place_id", "city", "lat_city", "lng_city", unit_vector("lat_city", "lng_city").alias("_point"))
-    pending = cut_lineage(spots.where("lat is not null and lon is not null").distinct())
-    settled: list[DataFrame] = []
-    edge = first_km
-    while True:
-        last = edge >= 2 * EARTH_RADIUS_KM
-        near = targets.withColumn("_cell", F.explode(touching_cells(earth_cell("lat_city", "lng_city", edge))))
-        chord = chord_squared(F.col("_here"), F.col("_point")).alias("chord")
-        best = cut_lineage(
-            pending.withColumn("_cell", earth_cell("lat", "lon", edge))
-            .withColumn("_here", unit_vector("lat", "lon"))
-            .join(near, "_cell")
-            .groupBy("lat", "lon")
-            .agg(F.min(F.struct(chord, "place_id", "city", "lat_city", "lng_city")).alias("_best"))
-            .withColumn("distance", haversine_km("lat", "lon", "_best.lat_city", "_best.lng_city"))
+    near = targets.select(
+        *targets.columns, F.inline(_cells("lat_city", "lng_city", edges))
+    ).withColumn("cell", F.explode(touching_cells("cell")))
+    pyramid = near.groupBy("level", "cell").agg(
+        F.min(F.struct("place_id", "_point")).alias("_some"),
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"),
+    )
+    known = spots.where("lat is not null and lon is not null").distinct().withColumn("_here", unit_vector("lat", "lon"))
+    met = known.select("*", F.inline(_cells("lat", "lon", edges))).join(pyramid, ["level", "cell"])
+    chord = chord_squared(F.col("_here"), F.col("_some._point"))
+    bound = F.sqrt("_chord") * F.lit(EARTH_RADIUS_KM * (1 + 1e-9))
+    level = F.coalesce(*[F.when(bound <= edge, F.lit(i)) for i, edge in enumerate(edges)], F.lit(len(edges) - 1))
+    asked = (
+        met.groupBy("lat", "lon")
+        .agg(F.min(chord).alias("_chord"), F.collect_list(F.struct("level", "cell", "_blocks")).alias("_cells"))
+        .withColumn("_level", level)
+        .select("lat", "lon", F.explode(F.filter("_cells", lambda c: c["level"] == F.col("_level"))).alias("_at"))
+        .select("lat", "lon", "_at.level", "_at.cell", F.explode(F.sequence(F.lit(0), F.col("_at._blocks") - 1)).alias("_block"))
+        .withColumn("_here", unit_vector("lat", "lon"))
+    )
+    in_block = near.join(pyramid.where("_blocks > 1").select("level", "cell", "_blocks"), ["level", "cell"], "left").withColumn(
+        "_block", F.coalesce(F.pmod(F.xxhash64("place_id"), F.col("_blocks")).cast("int"), F.lit(0))
+    )
+    apart = chord_squared(F.col("_here"), F.col("_point")).alias("chord")
+    return (
+        asked.join(in_block.drop("_blocks"), ["level", "cell", "_block"])
+        .groupBy("lat", "lon")
+        .agg(F.min(F.struct(apart, "place_id", "city", "lat_city", "lng_city")).alias("_best"))
+        .select(
+            "lat",
+            "lon",
+            "_best.place_id",
+            "_best.city",
+            haversine_km("lat", "lon", "_best.lat_city", "_best.lng_city").alias("distance"),
         )
-        done = best if last else best.where(F.col("distance") <= edge)
-        settled.append(done)
-        pending = cut_lineage(pending.join(done, ["lat", "lon"], "left_anti"))
-        if last or pending.isEmpty():
-            break
-        edge *= 8
-    found = settled[0]
-    for more in settled[1:]:
-        found = found.unionAll(more)
-    return found.select("lat", "lon", "_best.place_id", "_best.city", "distance")
+    )
 
 
 def pairs_within_radius(

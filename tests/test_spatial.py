@@ -66,15 +66,21 @@ def test_crowd_at_one_point_gives_every_pair(spark):
     assert got.count() == 60 * 59 // 2
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize(("first_km", "block_rows"), [(300.0, 20_000), (0.5, 3), (9_000.0, 4), (50_000.0, 20_000)])
+def test_nearest_equals_brute_force(spark, first_km, block_rows):
     rng = random.Random(5)
     places = [(i, f"c{i}", rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(30)]
-    events = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)] + [(999, None, 10.0)]
+    # A crowd of places a few metres apart, the poles and both sides of the date line.
+    places += [(100 + i, "crowd", -33.0 + i * 1e-5, 151.0) for i in range(40)] + [(200, "pole", 90.0, 0.0), (201, "line", 0.0, -179.99)]
+    events = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
+    events += [(300 + i, -33.0 + rng.uniform(-3, 3), 151.0 + rng.uniform(-3, 3)) for i in range(60)]
+    events += [(400, -33.0, 151.0), (401, 90.0, 77.0), (402, 0.0, 179.99), (403, -90.0, 5.0), (999, None, 10.0)]
     got = assign_nearest(
         spark.createDataFrame(events, "event_id int, lat double, lon double"),
         spark.createDataFrame(places, "place_id int, city string, lat_city double, lng_city double"),
         "event_id",
-        first_km=300.0,
+        first_km=first_km,
+        block_rows=block_rows,
     )
     found = {r["event_id"]: (r["place_id"], r["distance"]) for r in got.collect()}
     assert found.pop(999) == (None, None)
@@ -98,3 +104,12 @@ def test_nearest_keeps_one_plan_beyond_two_thousand_places(spark):
     near = lambda lat, lon: min(grid, key=lambda p: (km(lat, lon, p[2], p[3]), p[0]))[1]
     found = {(r.lat, r.lon): r.city for r in got.collect()}
     assert found == {(0.2, 0.1): near(0.2, 0.1), (-29.9, 19.2): near(-29.9, 19.2)} and got.count() == 3
+
+
+def test_nearest_starts_no_job_and_writes_nothing(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    places = spark.createDataFrame([(1, "A", 10.0, 10.0)], "place_id int, city string, lat_city double, lng_city double")
+    events = spark.createDataFrame([(1, 10.0, 10.0)], "event_id int, lat double, lon double")
+    located = assign_nearest(events, places, "event_id")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+    assert assign_nearest(events, places.limit(0), "event_id").first()["city"] is None and located.first()["city"] == "A"
