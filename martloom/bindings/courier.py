@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.bindings.registry import Tables, money, plain, query
-from martloom.operators.loads import increment, next_mark
+from martloom.operators.changes import capture_changes
+from martloom.operators.loads import increment, next_cursor, next_mark, page_after, upsert
 from martloom.plans import courier
 from martloom.plans.courier import Tier
 
@@ -139,6 +140,102 @@ def rate_dim(t: Tables) -> DataFrame:
     return plain(courier.rate_increment(stg_deliveries(t), couriers(t), timestamps(t), -1))
 
 
+@query(
+    "cursor_pages",
+    """select (row_number() over (order by day, o_orderkey) - 1) // 400 + 1 as page, o_orderkey
+       from (select o_orderkey, cast(o_orderdate as date) as day from orders)
+       qualify row_number() over (order by day, o_orderkey) <= 1200""",
+)
+def cursor_pages(t: Tables) -> DataFrame:
+    """Three pages of 400 orders by day; many orders share a day, so pages end between equal days."""
+    cursor, after, pages = ("day", "o_orderkey"), None, []
+    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    for number in (1, 2, 3):
+        page = page_after(rows, cursor, after, 400)
+        pages.append(page.select(F.lit(number).alias("page"), "o_orderkey"))
+        after = next_cursor(page, cursor).first()["cursor"]
+    return plain(pages[0].unionByName(pages[1]).unionByName(pages[2]))
+
+
+@query(
+    "courier_changes",
+    """with old as (select c_custkey as id, c_name as name from customer where c_custkey % 7 <> 0),
+            fresh as (select c_custkey as id, case when c_custkey % 3 = 0 then c_name || ' jr' else c_name end as name
+                      from customer where c_custkey % 5 <> 0)
+       select coalesce(f.id, o.id) as id, coalesce(f.name, o.name) as name,
+              case when o.id is null then 'insert' when f.id is null then 'delete' else 'update' end as change
+       from old o full join fresh f on o.id = f.id where o.name is distinct from f.name""",
+)
+def courier_changes(t: Tables) -> DataFrame:
+    """Couriers that came, went or were renamed between two snapshots."""
+    key = F.col("c_custkey")
+    old = t.customer.where(key % 7 != 0).select(key.alias("id"), F.col("c_name").alias("name"))
+    name = F.when(key % 3 == 0, F.concat("c_name", F.lit(" jr"))).otherwise(F.col("c_name"))
+    return plain(capture_changes(old, t.customer.where(key % 5 != 0).select(key.alias("id"), name.alias("name")), ["id"]))
+
+
+@query(
+    "courier_renamed",
+    """select 'c' || cast(c_custkey as varchar) as courier_id,
+              case when c_custkey % 3 = 0 then c_name || ' jr' else c_name end as courier_name from customer""",
+)
+def courier_renamed(t: Tables) -> DataFrame:
+    """The dimension after a second pull in which every third courier has another name under its old row id."""
+    renamed = F.when(F.col("c_custkey") % 3 == 0, F.concat("c_name", F.lit(" jr"))).otherwise(F.col("c_name"))
+    empty = t.spark.createDataFrame([], "id long, object_id string, object_value string, update_ts timestamp")
+    landed, dim, after = empty, None, None
+    pulls = ((t.customer, BEFORE), (t.customer.where("c_custkey % 3 = 0").withColumn("c_name", renamed), NOW))
+    for people, now in pulls:
+        doc = F.to_json(F.struct(F.concat(F.lit("c"), "c_custkey").alias("_id"), F.col("c_name").alias("name")))
+        pull = people.select(doc.alias("object_value"), F.col("c_custkey").alias("arrival"))
+        landed = t.stored(courier.land_documents(landed, pull, "_id", now), "landed")
+        fresh = courier.courier_versions(landed, after)
+        after = next_cursor(fresh, courier.VERSION_CURSOR).first()["cursor"]
+        dim = fresh if dim is None else upsert(dim, fresh, ["courier_id"], ["update_ts"])
+    return plain(dim.select("courier_id", "courier_name"))
+
+
+#: The first run loads a page of 300 documents and knows two couriers in three; the second knows all and goes on.
+RATE_RUNS_SQL = """
+with docs as (
+  select o_orderkey as id, o_custkey as courier_id, cast(strftime(o_orderdate, '%Y%m%d') as bigint) as date_id,
+         cast(substr(o_orderpriority, 1, 1) as bigint) as rate, row_number() over (order by o_orderkey) as place
+  from orders join customer on o_custkey = c_custkey)
+"""
+
+
+def _rate_runs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows of two runs, and what waits after each."""
+    stg, times, some = stg_deliveries(t), timestamps(t), couriers(t).where("id % 3 <> 0")
+    first = courier.rate_increment(stg, some, times, -1, 300)
+    waits = t.stored(courier.rates_waiting(stg, some, times, -1, BEFORE, 300), "waiting")
+    mark = next_mark(courier.delivery_page(stg, -1, 300), "id").first()["mark"]
+    second = courier.rate_increment(stg, couriers(t), times, mark, waiting=waits)
+    return first, waits, second, courier.rates_waiting(stg, couriers(t), times, mark, NOW, waiting=waits)
+
+
+@query(
+    "rates_two_runs",
+    RATE_RUNS_SQL + """select case when place <= 300 and courier_id % 3 <> 0 then 1 else 2 end as run, id, courier_id,
+                              date_id, rate from docs""",
+)
+def rates_two_runs(t: Tables) -> DataFrame:
+    first, _, second, _ = _rate_runs(t)
+    return plain(first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))))
+
+
+@query(
+    "rates_unmatched",
+    RATE_RUNS_SQL + """select 1 as run, id, '2024-01-01 00:00:00.000000' as waiting_since from docs
+                       where place <= 300 and courier_id % 3 = 0""",
+)
+def rates_unmatched(t: Tables) -> DataFrame:
+    """Documents that wait after each of two runs; after the second none does, as every courier has arrived."""
+    _, after_first, _, after_second = _rate_runs(t)
+    both = after_first.withColumn("run", F.lit(1)).unionByName(after_second.withColumn("run", F.lit(2)))
+    return plain(both.select("run", "id", "waiting_since"))
+
+
 FACT_SQL = """
 with fact as (
   select o_orderkey as id, o_custkey as courier_id, o_orderkey as order_id,
@@ -158,6 +255,46 @@ def courier_fact(t: Tables) -> DataFrame:
     return plain(courier.courier_sales_fact(stg_deliveries(t), orders(t), -1))
 
 
+def _fact_runs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows of two runs over pages of 300 orders and all others, and what waits after each.
+
+    Documents of every fourth order come between the runs.
+    """
+    stg, known = stg_deliveries(t), orders(t)
+    early = stg.where("id % 4 <> 0")
+    first = courier.courier_sales_fact(early, known, -1, 300)
+    waits = t.stored(courier.orders_waiting(early, known, -1, BEFORE, 300), "waiting")
+    mark = next_mark(courier.order_page(known, -1, 300), "id").first()["mark"]
+    second = courier.courier_sales_fact(stg, known, mark, waiting=waits)
+    return first, waits, second, courier.orders_waiting(stg, known, mark, NOW, waiting=waits)
+
+
+@query(
+    "facts_two_runs",
+    FACT_SQL
+    + """, placed as (select *, row_number() over (order by id) as place from fact)
+    select case when place <= 300 and id % 4 <> 0 then 1 else 2 end as run, id, courier_id, rate,
+           cast(order_sum as double) as order_sum from placed""",
+)
+def facts_two_runs(t: Tables) -> DataFrame:
+    first, _, second, _ = _fact_runs(t)
+    both = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return plain(both.select("run", "id", "courier_id", "rate", "order_sum"))
+
+
+@query(
+    "facts_unmatched",
+    FACT_SQL
+    + """, placed as (select id, row_number() over (order by id) as place from fact)
+    select 1 as run, id, '2024-01-01 00:00:00.000000' as waiting_since from placed where place <= 300 and id % 4 = 0""",
+)
+def facts_unmatched(t: Tables) -> DataFrame:
+    """Orders that wait for their document after each of two runs; after the second none does."""
+    _, after_first, _, after_second = _fact_runs(t)
+    both = after_first.withColumn("run", F.lit(1)).unionByName(after_second.withColumn("run", F.lit(2)))
+    return plain(both.select("run", "id", "waiting_since"))
+
+
 @query(
     "assign_courier",
     """select o_orderkey as id, 'o' || cast(o_orderkey as varchar) as order_key, o_custkey as courier_id

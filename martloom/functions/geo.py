@@ -54,8 +54,16 @@ def earth_cell(lat: str | Column, lon: str | Column, edge_km: float) -> Column:
     return x + y + z
 
 
+def vector_cell(vector: str, edge_km: float) -> Column:
+    """Cell of the point that the column ``vector`` holds as ``unit_vector`` gives it."""
+    scale = EARTH_RADIUS_KM / max(edge_km, MIN_EDGE_KM)
+    axes = [f"floor({vector}.{axis} * {scale!r}D) * {step}L" for axis, step in zip("xyz", AXIS_STEPS)]
+    return F.expr(" + ".join(axes))
+
+
 def touching_cells(cell: str | Column) -> Column:
     """Array of the cell itself and its 26 neighbours."""
     dx, dy, dz = AXIS_STEPS
-    steps = (-1, 0, 1)
-    return F.array(*[as_column(cell) + F.lit(i * dx + j * dy + k * dz) for i in steps for j in steps for k in steps])
+    moves = (-1, 0, 1)
+    steps = ", ".join(f"{i * dx + j * dy + k * dz}L" for i in moves for j in moves for k in moves)
+    return F.transform(F.expr(f"array({steps})"), lambda step: as_column(cell) + step)

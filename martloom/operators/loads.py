@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,6 +131,30 @@ def next_mark(rows: DataFrame, mark_col: str) -> DataFrame:
     return rows.agg(F.max(mark_col).alias("mark"))
 
 
+def page_after(src: DataFrame, cursor: Sequence[str], after: Sequence[object] | None, limit: int | None = None) -> DataFrame:
+    """Rows past a compound cursor in its order; with ``limit`` the first so many.
+
+    ``cursor`` ends in a unique column, so that a page may end between rows that share the leading mark; none of its
+    columns is NULL. ``after`` holds one value a column, as text or in its own type, or None for the beginning. The
+    condition on the leading column reaches the scan.
+    """
+    rows = src
+    if after is not None:
+        marks = [F.lit(v).cast(src.schema[c].dataType) for c, v in zip(cursor, after, strict=True)]
+        past = F.lit(False)
+        for name, mark in reversed(list(zip(cursor, marks, strict=True))):
+            past = (F.col(name) > mark) | ((F.col(name) == mark) & past)
+        rows = rows.where((F.col(cursor[0]) >= marks[0]) & past)
+    return rows if limit is None else rows.orderBy(*cursor).limit(limit)
+
+
+def next_cursor(rows: DataFrame, cursor: Sequence[str]) -> DataFrame:
+    """One row with the cursor of the page's last row as an array of texts, NULL if the page was empty."""
+    last = rows.agg(F.max(F.struct(*cursor)).alias("_last"))
+    texts = F.array(*[F.col(f"_last.{c}").cast("string") for c in cursor])
+    return last.select(F.when(F.col("_last").isNotNull(), texts).alias("cursor"))
+
+
 MARK_SCHEMA = "mark string, saved_at timestamp, workflow string"
 
 
@@ -146,6 +171,18 @@ def write_mark(spark: SparkSession, path: str, workflow: str, mark: object, save
     write_partitions(row.coalesce(1), path, ["workflow"])
 
 
+def read_cursor(spark: SparkSession, path: str, workflow: str) -> list[str] | None:
+    """Saved cursor of a workflow as texts, None before the first."""
+    text = read_mark(spark, path, workflow)
+    return None if text is None else json.loads(text)
+
+
+def write_cursor(spark: SparkSession, path: str, workflow: str, cursor: Sequence[str] | None, saved_at: object) -> None:
+    """Save all columns of a cursor as one mark, so that they never part; an empty page keeps the saved one."""
+    if cursor is not None:
+        write_mark(spark, path, workflow, json.dumps(list(cursor)), saved_at)
+
+
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Overwrite exactly the partitions present in ``df``."""
     (

@@ -12,6 +12,7 @@ from martloom.functions.geo import (
     haversine_km,
     touching_cells,
     unit_vector,
+    vector_cell,
 )
 from martloom.operators.ranking import first_per_key
 
@@ -55,10 +56,9 @@ def _edges(first_km: float) -> list[float]:
     return edges
 
 
-def _cells(lat: str, lon: str, edges: list[float]) -> Column:
-    """(level, cell) of a point in each grid."""
-    cells = [F.struct(F.lit(i).alias("level"), earth_cell(lat, lon, edge).alias("cell")) for i, edge in enumerate(edges)]
-    return F.array(*cells)
+def _cells(vector: str, edges: list[float]) -> Column:
+    """The cell of a point in each grid, in the order of the grids."""
+    return F.array(*[vector_cell(vector, edge) for edge in edges])
 
 
 def _nearest(spots: DataFrame, places: DataFrame, edges: list[float], block_rows: int) -> DataFrame:
@@ -73,15 +73,14 @@ def _nearest(spots: DataFrame, places: DataFrame, edges: list[float], block_rows
     the squared chord in space; only the winner's distance is worked out.
     """
     targets = places.select("place_id", "city", "lat_city", "lng_city", unit_vector("lat_city", "lng_city").alias("_point"))
-    near = targets.select(
-        *targets.columns, F.inline(_cells("lat_city", "lng_city", edges))
-    ).withColumn("cell", F.explode(touching_cells("cell")))
+    own = targets.select("*", F.posexplode(_cells("_point", edges)).alias("level", "_own"))
+    near = own.select(*targets.columns, "level", F.explode(touching_cells("_own")).alias("cell"))
     pyramid = near.groupBy("level", "cell").agg(
         F.min(F.struct("place_id", "_point")).alias("_some"),
         F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"),
     )
     known = spots.where("lat is not null and lon is not null").distinct().withColumn("_here", unit_vector("lat", "lon"))
-    met = known.select("*", F.inline(_cells("lat", "lon", edges))).join(pyramid, ["level", "cell"])
+    met = known.select("*", F.posexplode(_cells("_here", edges)).alias("level", "cell")).join(pyramid, ["level", "cell"])
     chord = chord_squared(F.col("_here"), F.col("_some._point"))
     bound = F.sqrt("_chord") * F.lit(EARTH_RADIUS_KM * (1 + 1e-9))
     level = F.coalesce(*[F.when(bound <= edge, F.lit(i)) for i, edge in enumerate(edges)], F.lit(len(edges) - 1))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.text import json_field, json_fields
-from martloom.operators.loads import increment, surrogate_id, update_from, upsert
+from martloom.operators.changes import still_waiting, with_waiting
+from martloom.operators.loads import increment, page_after, surrogate_id, update_from, upsert
 from martloom.operators.ranking import latest_per_key
 
 COURIER_FIELDS = "_id string, name string"
@@ -18,6 +19,9 @@ DELIVERY_FIELDS = (
     "rate int, sum decimal(14,2), tip_sum decimal(14,2)"
 )
 
+# Order of document versions: the time of the last change, then the row id, which is unique.
+VERSION_CURSOR = ("update_ts", "id")
+
 # Fixed values of the ledger: processing fee and share of pay and tips that is paid out.
 PROCESSING_FEE = "0.25"
 PAYOUT_SHARE = "0.95"
@@ -62,20 +66,43 @@ def _deliveries(stg: DataFrame) -> DataFrame:
     return stg.select("id", F.inline(F.array(json_fields("object_value", DELIVERY_FIELDS))))
 
 
-def _page(rows: DataFrame, limit: int | None) -> DataFrame:
-    return rows if limit is None else rows.orderBy("id").limit(limit)
+def courier_versions(stg: DataFrame, after: Sequence[object] | None, limit: int | None = None) -> DataFrame:
+    """Couriers whose document came or changed past the cursor (update_ts, id): a renamed one comes again.
+
+    ``upsert`` them into the dimension by ``courier_id`` in ``update_ts`` order.
+    """
+    page = page_after(stg.select("id", "object_value", "update_ts"), VERSION_CURSOR, after, limit)
+    docs = page.select("id", "update_ts", F.inline(F.array(json_fields("object_value", COURIER_FIELDS))))
+    return docs.select("id", "update_ts", F.col("_id").alias("courier_id"), F.col("name").alias("courier_name"))
 
 
 def delivery_dim_increment(
-    stg: DataFrame, orders: DataFrame, after_id: int, limit: int | None = None
+    stg: DataFrame, orders: DataFrame, after_id: int, limit: int | None = None, waiting: DataFrame | None = None
 ) -> DataFrame:
-    """Deliveries past the id mark whose order is known."""
-    docs = _deliveries(increment(stg, "id", after_id))
+    """Deliveries past the id mark whose order is known.
+
+    A page is ``limit`` documents, whatever they match, so the next mark is that of ``delivery_page``. ``waiting`` are
+    documents that ``deliveries_waiting`` gave earlier.
+    """
+    docs = _deliveries(delivery_page(stg, after_id, limit, waiting))
     keys = orders.select(F.col("id").alias("_order_id"), "order_key")
-    rows = docs.join(keys, docs["order_id"] == keys["order_key"]).select(
+    return docs.join(keys, docs["order_id"] == keys["order_key"]).select(
         docs["id"], F.col("_order_id").alias("order_id"), "delivery_id", "address"
     )
-    return _page(rows, limit)
+
+
+def delivery_page(stg: DataFrame, after_id: int, limit: int | None = None, waiting: DataFrame | None = None) -> DataFrame:
+    """Documents (id, object_value, waiting_since) of one run: a page past the mark, and those still waiting."""
+    page = increment(stg.select("id", "object_value"), "id", after_id, limit)
+    return with_waiting(page, waiting, ["id"])
+
+
+def deliveries_waiting(
+    stg: DataFrame, orders: DataFrame, after_id: int, now: object, limit: int | None = None, waiting: DataFrame | None = None
+) -> DataFrame:
+    """Documents of the run whose order has not arrived, to hand to the next run."""
+    loaded = delivery_dim_increment(stg, orders, after_id, limit, waiting)
+    return still_waiting(delivery_page(stg, after_id, limit, waiting), loaded, ["id"], now)
 
 
 def deliveries_without_order(stg: DataFrame, orders: DataFrame, after_id: int) -> DataFrame:
@@ -86,16 +113,37 @@ def deliveries_without_order(stg: DataFrame, orders: DataFrame, after_id: int) -
 
 
 def rate_increment(
-    stg: DataFrame, couriers: DataFrame, timestamps: DataFrame, after_id: int, limit: int | None = None
+    stg: DataFrame,
+    couriers: DataFrame,
+    timestamps: DataFrame,
+    after_id: int,
+    limit: int | None = None,
+    waiting: DataFrame | None = None,
 ) -> DataFrame:
-    """Ratings past the id mark with the ids of their courier and second-precision timestamp."""
-    docs = _deliveries(increment(stg, "id", after_id)).select(
+    """Ratings past the id mark with the ids of their courier and second-precision timestamp.
+
+    Pages and ``waiting`` are those of ``delivery_dim_increment``.
+    """
+    docs = _deliveries(delivery_page(stg, after_id, limit, waiting)).select(
         "id", F.col("courier_id").alias("_courier"), "rate", to_second("order_ts").alias("_ts")
     )
     people = couriers.select(F.col("id").alias("courier_id"), F.col("courier_id").alias("_courier"))
     times = timestamps.select(F.col("id").alias("date_id"), F.col("ts").alias("_ts"))
-    rows = docs.join(people, "_courier").join(times, "_ts").select("id", "courier_id", "date_id", "rate")
-    return _page(rows, limit)
+    return docs.join(people, "_courier").join(times, "_ts").select("id", "courier_id", "date_id", "rate")
+
+
+def rates_waiting(
+    stg: DataFrame,
+    couriers: DataFrame,
+    timestamps: DataFrame,
+    after_id: int,
+    now: object,
+    limit: int | None = None,
+    waiting: DataFrame | None = None,
+) -> DataFrame:
+    """Documents of the run whose courier or timestamp has not arrived, to hand to the next run."""
+    loaded = rate_increment(stg, couriers, timestamps, after_id, limit, waiting)
+    return still_waiting(delivery_page(stg, after_id, limit, waiting), loaded, ["id"], now)
 
 
 def to_second(text: str | Column) -> Column:
@@ -104,16 +152,35 @@ def to_second(text: str | Column) -> Column:
     return F.date_trunc("second", ts + F.expr("interval '0.5' second")).cast("timestamp_ntz")
 
 
-def courier_sales_fact(stg: DataFrame, orders: DataFrame, after_id: int, limit: int | None = None) -> DataFrame:
-    """Rate, order sum and tips of delivered orders past the order id mark."""
+def courier_sales_fact(
+    stg: DataFrame, orders: DataFrame, after_id: int, limit: int | None = None, waiting: DataFrame | None = None
+) -> DataFrame:
+    """Rate, order sum and tips of delivered orders past the order id mark.
+
+    A page is ``limit`` orders with all their documents; the next mark is that of ``order_page``. ``waiting`` are orders
+    that ``orders_waiting`` gave earlier.
+    """
     docs = _deliveries(stg).select(
         F.col("order_id").alias("order_key"), "rate", F.col("sum").alias("order_sum"), F.col("tip_sum").alias("tips_sum")
     )
-    known = orders.where(F.col("id") > after_id).select("id", "order_key", "courier_id")
-    rows = known.join(docs, "order_key").select(
+    known = order_page(orders, after_id, limit, waiting).select("id", "order_key", "courier_id")
+    return known.join(docs, "order_key").select(
         "id", "courier_id", F.col("id").alias("order_id"), "rate", "order_sum", "tips_sum"
     )
-    return _page(rows, limit)
+
+
+def order_page(orders: DataFrame, after_id: int, limit: int | None = None, waiting: DataFrame | None = None) -> DataFrame:
+    """Orders (id, order_key, courier_id, waiting_since) of one run: a page past the mark, and those still waiting."""
+    page = increment(orders.select("id", "order_key", "courier_id"), "id", after_id, limit)
+    return with_waiting(page, waiting, ["id"])
+
+
+def orders_waiting(
+    stg: DataFrame, orders: DataFrame, after_id: int, now: object, limit: int | None = None, waiting: DataFrame | None = None
+) -> DataFrame:
+    """Orders of the run without a delivery document, to hand to the next run."""
+    loaded = courier_sales_fact(stg, orders, after_id, limit, waiting)
+    return still_waiting(order_page(orders, after_id, limit, waiting), loaded, ["id"], now)
 
 
 def assign_courier(orders: DataFrame, deliveries: DataFrame, couriers: DataFrame) -> DataFrame:
