@@ -68,7 +68,7 @@ def upsert_table(t: Tables) -> DataFrame:
     late = F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")
     for half in (rows.where(~late), rows.where(late), rows.where(late)):
         loads.upsert_table(t.spark, path, half, ["user_id", "event_type"], ["ts", "event_id"], buckets=4)
-    return plain(t.spark.read.parquet(path).drop("ts", "bucket"))
+    return plain(loads.read_upserted(t.spark, path).drop("ts"))
 
 
 @query("add_counts", "select user_id, max(event_type) as event_type, count(*) as n from events group by user_id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from martloom.functions.keys import as_column
+from martloom.operators import snapshots
 from martloom.operators.ranking import global_row_number, latest_per_key
 
 
@@ -64,18 +65,29 @@ def upsert_table(
     buckets: int,
     keep_first: Sequence[str] = (),
 ) -> None:
-    """Upsert into a Parquet table partitioned by key bucket.
+    """Upsert into a table of key buckets that ``read_upserted`` reads.
 
-    Only buckets that receive rows are read and rewritten. The write goes to a staging folder
-    first and repeating the call gives the same table, so a failed run is simply run again.
-    ``buckets`` must stay the same for a table; aim at files of some hundred MB per bucket.
+    Only buckets that receive rows are read and rewritten, into new folders; a manifest then makes all of them count at
+    once. A run that stops anywhere leaves the table as it was or as it shall be, and repeating the call gives the same
+    table. ``buckets`` must stay the same for a table; aim at files of some hundred MB per bucket. Replaced folders
+    stay until ``snapshots.expire``.
     """
     incoming = incoming.withColumn("bucket", key_bucket(keys, buckets))
-    # At most ``buckets`` numbers: they prune the read to the partitions that change.
-    touched = [row["bucket"] for row in incoming.select("bucket").distinct().collect()]
-    existing = read_or_empty(spark, path, incoming).where(F.col("bucket").isin(touched))
+    # At most ``buckets`` numbers: they prune the read to the folders that change.
+    touched = {row["bucket"] for row in incoming.select("bucket").distinct().collect()}
+    if not touched:
+        return
+    version, parts = snapshots.newest(spark, path)
+    existing = snapshots.read_parts(spark, path, [p for p in parts if p.low in touched], incoming.schema)
     merged = upsert(existing, incoming, ["bucket", *keys], order_by, keep_first)
-    write_partitions(balanced(merged, ["bucket"]), path, ["bucket"])
+    folder = snapshots.write_data(balanced(merged, ["bucket"]), path, ["bucket"])
+    fresh = [snapshots.Part(f"{folder}/bucket={b}", 0, b, b) for b in sorted(touched)]
+    snapshots.commit(spark, path, version, [p for p in parts if p.low not in touched] + fresh)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole state of an upserted table."""
+    return snapshots.read_table(spark, path).drop("bucket")
 
 
 def add_counts(

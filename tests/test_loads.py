@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from conftest import rows
-from martloom.operators import loads
+from martloom.operators import loads, snapshots
 
 
 def test_upsert_last_write_wins_and_keeps_first(spark):
@@ -20,19 +22,59 @@ def test_upsert_table_twice_gives_the_same(spark, tmp_path):
     second = spark.createDataFrame([(k, "b", 2) for k in range(30, 50)], "k int, v string, t int")
     loads.upsert_table(spark, path, first, ["k"], ["t"], buckets=8)
     loads.upsert_table(spark, path, second, ["k"], ["t"], buckets=8)
-    once = rows(spark.read.parquet(path), "k", "v")
+    once = rows(loads.read_upserted(spark, path), "k", "v")
     loads.upsert_table(spark, path, second, ["k"], ["t"], buckets=8)
-    assert rows(spark.read.parquet(path), "k", "v") == once
+    assert rows(loads.read_upserted(spark, path), "k", "v") == once
     assert sorted(once) == sorted([(k, "a") for k in range(30)] + [(k, "b") for k in range(30, 50)])
 
 
 def test_upsert_table_leaves_other_buckets_alone(spark, tmp_path):
-    path = tmp_path / "t"
-    loads.upsert_table(spark, str(path), spark.range(100), ["id"], ["id"], buckets=8)
-    before = {p.name: sorted(f.name for f in p.iterdir()) for p in path.iterdir() if p.is_dir()}
-    loads.upsert_table(spark, str(path), spark.range(1), ["id"], ["id"], buckets=8)
-    after = {p.name: sorted(f.name for f in p.iterdir()) for p in path.iterdir() if p.is_dir()}
+    path = str(tmp_path / "t")
+    loads.upsert_table(spark, path, spark.range(100), ["id"], ["id"], buckets=8)
+    before = {p.low: p.folder for p in snapshots.newest(spark, path)[1]}
+    loads.upsert_table(spark, path, spark.range(1), ["id"], ["id"], buckets=8)
+    after = {p.low: p.folder for p in snapshots.newest(spark, path)[1]}
     assert sum(before[b] != after[b] for b in before) == 1
+    loads.upsert_table(spark, path, spark.range(0), ["id"], ["id"], buckets=8)
+    assert snapshots.newest(spark, path)[0] == 2
+
+
+@pytest.mark.parametrize("step", ["write_data", "commit"])
+def test_an_upsert_cut_off_at_any_step_leaves_the_old_state(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(k, "a", 1) for k in range(20)], "k int, v string, t int")
+    second = spark.createDataFrame([(k, "b", 2) for k in range(10, 30)], "k int, v string, t int")
+    args = (["k"], ["t"], 4)
+    loads.upsert_table(spark, path, first, *args)
+    whole = getattr(snapshots, step)
+
+    def cut_off(*given, **named):
+        if step == "write_data":
+            whole(*given, **named)  # all data is there, and still does not count
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(snapshots, step, cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        loads.upsert_table(spark, path, second, *args)
+    monkeypatch.setattr(snapshots, step, whole)
+    assert rows(loads.read_upserted(spark, path), "k", "v") == sorted([(k, "a") for k in range(20)], key=repr)
+    loads.upsert_table(spark, path, second, *args)
+    assert rows(loads.read_upserted(spark, path), "k", "v") == sorted([(k, "a") for k in range(10)] + [(k, "b") for k in range(10, 30)], key=repr)
+    used = {p.folder.split("/")[1] for p in snapshots.newest(spark, path)[1]}
+    snapshots.expire(spark, path, dt.datetime.now() - dt.timedelta(days=1))
+    assert len(list((tmp_path / "t/manifests").glob("version=*"))) == 2
+    snapshots.expire(spark, path, dt.datetime.now() + dt.timedelta(days=1))
+    assert {p.name for p in (tmp_path / "t/data").iterdir()} == used
+    assert loads.read_upserted(spark, path).count() == 30
+
+
+def test_two_writers_of_one_version_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loads.upsert_table(spark, path, spark.range(3), ["id"], ["id"], buckets=2)
+    for _ in range(2):
+        snapshots.commit(spark, path, 1, snapshots.newest(spark, path)[1] if _ == 0 else [])
+    with pytest.raises(RuntimeError, match="two writers"):
+        snapshots.newest(spark, path)
 
 
 def test_add_counts(spark):
