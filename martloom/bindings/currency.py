@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.bindings.registry import Tables, plain, query
 from martloom.functions.keys import hash_key
+from martloom.operators.vault import probed_keys
 from martloom.plans import currency
 
 LOAD_DT = dt.datetime(2024, 2, 1)
@@ -115,6 +116,38 @@ def hub_hash64(t: Tables) -> DataFrame:
     return plain(currency.hub_transactions(transactions(t), None, None, LOAD_DT, SOURCE, key=hash_key))
 
 
+@query(
+    "hub_hash64_audit",
+    VAULT_SQL + "select operation_id, 1 as holders from h_tx",
+)
+def hub_hash64_audit(t: Tables) -> DataFrame:
+    """How many operations share the 64-bit key of each one: itself alone."""
+    hub = currency.hub_transactions(transactions(t), None, None, LOAD_DT, SOURCE, key=hash_key)
+    holders = hub.groupBy("h_transaction_pk").agg(F.count(F.lit(1)).alias("holders"))
+    return plain(hub.join(holders, "h_transaction_pk").select("operation_id", "holders"))
+
+
+@query(
+    "hub_probed_keys",
+    """with held as (select distinct o_orderkey // 4 as pk from orders where o_orderkey % 5 <> 0),
+            first as (select o_orderkey, o_orderkey // 4 as pk, o_orderkey % 5 <> 0 as early from orders),
+            won as (select arg_min(o_orderkey, (not early, o_orderkey)) as o_orderkey from first group by pk)
+       select o_orderkey, case when o_orderkey in (select o_orderkey from won) then o_orderkey // 4
+                               else 1000000000 + o_orderkey end as pk from orders""",
+)
+def hub_probed_keys(t: Tables) -> DataFrame:
+    """Two loads under a key that up to four orders share; each order ends with a key of its own."""
+
+    def key(probe: int) -> Column:
+        own = F.col("o_orderkey")
+        return F.floor(own / 4).cast("long") if probe == 0 else F.lit(1_000_000_000 * probe).cast("long") + own
+
+    early = F.col("o_orderkey") % 5 != 0
+    first = probed_keys(t.orders.where(early), None, "pk", ["o_orderkey"], key=key)
+    second = probed_keys(t.orders, first, "pk", ["o_orderkey"], key=key)
+    return plain(first.unionByName(second).select("o_orderkey", "pk"))
+
+
 @query(
     "hub_currencies",
     VAULT_SQL

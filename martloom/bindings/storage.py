@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from martloom.bindings.registry import Tables, money, plain, query, scratch_folder
 from martloom.operators import loads
+from martloom.operators.asof import asof_lookup
 from martloom.sources import files
 from martloom.sources.jdbc import day_rows
 
@@ -185,6 +188,80 @@ def document_pages(t: Tables) -> DataFrame:
     return files.read_document_pages(t.spark, path).select("object_value")
 
 
+@query(
+    "nullable_csv",
+    """select o_orderkey, case when o_custkey % 3 = 0 then null else o_custkey end as o_custkey, o_orderstatus,
+              o_totalprice, cast(cast(o_orderdate as date) as varchar) as order_day from orders""",
+)
+def nullable_csv(t: Tables) -> DataFrame:
+    """Integers that are empty in the file, read under a declared schema and with a header."""
+    path = scratch_folder(t.spark, "nullable")
+    rows = order_fields(t).withColumn("o_custkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
+    rows.write.option("header", True).csv(path)
+    return plain(files.read_csv(t.spark, path, ORDER_FIELDS))
+
+
+@query("landed_files", ORDERS_SQL + " where o_orderstatus <> 'P' union all " + ORDERS_SQL + " where o_orderstatus = 'P'")
+def landed_files(t: Tables) -> DataFrame:
+    """Objects under several prefixes, as a download leaves them, read as one table."""
+    path = scratch_folder(t.spark, "landed")
+    for name, part in (("a", F.col("o_orderstatus") != "P"), ("b", F.col("o_orderstatus") == "P")):
+        order_fields(t).where(part).write.option("header", True).option("sep", ";").csv(f"{path}/{name}")
+    return plain(files.read_csv(t.spark, [f"{path}/a", f"{path}/b"], ORDER_FIELDS, sep=";"))
+
+
+@query("appended", "select o_orderkey, o_orderstatus from orders union all select o_orderkey, o_orderstatus from orders where o_orderstatus = 'F'")
+def appended(t: Tables) -> DataFrame:
+    """A staging table by status that got one part twice: appends never replace."""
+    path = scratch_folder(t.spark, "staging")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    loads.append(rows, path, ["o_orderstatus"])
+    files.append_staging(rows.where("o_orderstatus = 'F'"), path, ["o_orderstatus"])
+    return plain(t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus"))
+
+
+@query(
+    "saved_marks",
+    """select 'orders' as workflow, cast(max(o_orderkey) as varchar) as mark from orders union all
+       select 'customers', cast(max(c_custkey) as varchar) from customer union all select 'none', null""",
+)
+def saved_marks(t: Tables) -> DataFrame:
+    """Marks of two workflows, saved after an older one of each, and of one that never ran."""
+    path = scratch_folder(t.spark, "marks")
+    for now in (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)):
+        for name, rows, key in (("orders", t.orders, "o_orderkey"), ("customers", t.customer, "c_custkey")):
+            done = rows if now.day == 2 else rows.where(F.col(key) < 100)
+            loads.write_mark(t.spark, path, name, loads.next_mark(done, key).first()["mark"], now)
+    marks = [(name, loads.read_mark(t.spark, path, name)) for name in ("orders", "customers", "none")]
+    return t.spark.createDataFrame(marks, "workflow string, mark string")
+
+
+@query(
+    "content_ids",
+    """select md5(coalesce(length(event_type) || ':' || event_type, '-') || length(cast(user_id as varchar)) || ':'
+                  || cast(user_id as varchar)) || '-'
+              || cast(row_number() over (partition by event_type, user_id) as varchar) as row_id, event_type, user_id
+       from (select case when event_type <> 'error' then event_type end as event_type, user_id from events)""",
+)
+def content_ids(t: Tables) -> DataFrame:
+    """Events without their id and time: many rows are equal, and a fifth has no type."""
+    kind = F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type")
+    return plain(loads.content_id(t.events.select(kind, "user_id").repartition(7)))
+
+
+@query(
+    "asof_events",
+    """with asked as (select event_id, user_id, ts from events where event_type = 'purchase'),
+            known as (select user_id, ts, event_id as view_id, value from events where event_type = 'view')
+       select a.event_id, k.view_id, k.value from asked a asof left join known k on a.user_id = k.user_id and a.ts >= k.ts""",
+)
+def asof_events(t: Tables) -> DataFrame:
+    """The last view of the same user before each purchase."""
+    views = t.events.where("event_type = 'view'").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("view_id"), "value")
+    bought = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return plain(asof_lookup(bought, views, ["user_id"], "ts", "at", ["view_id", "value"]).select("event_id", "view_id", "value"))
+
+
 @query("preview")
 def preview(t: Tables) -> DataFrame:
     """Any ten rows, so only their number is known."""

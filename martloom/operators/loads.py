@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from martloom.functions.keys import as_column
 from martloom.operators import snapshots
-from martloom.operators.ranking import global_row_number, latest_per_key
+from martloom.operators.ranking import global_row_number, group_row_number, latest_per_key
 
 
 def upsert(
@@ -252,6 +252,21 @@ def with_row_id(df: DataFrame, name: str = "event_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def content_id(df: DataFrame, columns: Sequence[str] | None = None, name: str = "row_id") -> DataFrame:
+    """Id for rows without a key that is the same in every run: digest of the content, and a number among equal rows.
+
+    ``columns`` (default: all) identify a row. Rows that are equal in them are told apart by a number from 1 on, so the
+    ids of a table do not depend on how its files are split or read. A NULL differs from every value.
+    """
+    parts: list[Column] = []
+    for c in columns or df.columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    digested = df.withColumn("_digest", F.md5(F.concat(*parts)))
+    numbered = group_row_number(digested, ["_digest"], [c for c in df.columns if c in (columns or df.columns)], "_number")
+    return numbered.select(*df.columns, F.concat_ws("-", "_digest", "_number").alias(name))
+
+
 def with_literals(df: DataFrame, **values: object) -> DataFrame:
     """Constant columns such as load time and source."""
     return df.withColumns({name: as_column(F.lit(value)) for name, value in values.items()})

@@ -76,6 +76,20 @@ def global_row_number(df: DataFrame, order_by: Sequence[str], name: str) -> Data
     return placed.join(offsets, "_part").select(*df.columns, (F.col("_before") + F.col("_local") + 1).alias(name))
 
 
+def group_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+    """Row numbers 1..n within each group; a group of any size is sorted by many tasks.
+
+    ``keys`` are never NULL. Rows are sorted by group and order in parallel and numbered in each task; the rows of the
+    group in the tasks before shift the numbers.
+    """
+    placed = _positions(df, [*keys, *order_by])
+    here = placed.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_rows"), F.min("_local").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1
+    shifts = here.select("_part", *keys, shift.alias("_shift"))
+    return placed.join(shifts, ["_part", *keys]).select(*df.columns, (F.col("_local") + F.col("_shift")).alias(name))
+
+
 def _bucket_ends(df: DataFrame, order_by: Sequence[str], buckets: int) -> DataFrame:
     """One row with the keys of the last row of every bucket but the final one."""
     placed = _positions(df, order_by)

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from martloom.functions.dates import on_day
 from martloom.functions.keys import md5_key
+from martloom.operators.asof import asof_lookup, join_hot
 from martloom.operators.vault import KeyFunction, load_hub, load_link, load_satellite
 
 # Code of the currency amounts are converted to, and a transaction type left out.
@@ -39,13 +39,13 @@ def hub_currencies(
 def _nearest_versions(asked: DataFrame, versions: DataFrame) -> DataFrame:
     """(currency_code, _day, h_currency_pk) for each asked currency and day: all versions of that day, or one other."""
     same = asked.join(versions, ["currency_code", "_day"])
-    open_ = asked.join(versions, ["currency_code", "_day"], "left_anti")
-    line = versions.unionByName(open_.withColumn("h_currency_pk", F.lit(None).cast(versions.schema["h_currency_pk"].dataType)))
-    days = Window.partitionBy("currency_code").orderBy("_day", "h_currency_pk")
-    before = F.last("h_currency_pk", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first("h_currency_pk", ignorenulls=True).over(days.rowsBetween(1, Window.unboundedFollowing))
-    other = line.withColumn("_other", F.coalesce(before, after)).where("h_currency_pk is null and _other is not null")
-    return same.unionByName(other.select("currency_code", "_day", F.col("_other").alias("h_currency_pk")))
+    missed = asked.join(versions, ["currency_code", "_day"], "left_anti")
+    known = versions.select("currency_code", "_day", F.col("h_currency_pk").alias("_before"))
+    before = asof_lookup(missed, known, ["currency_code"], "_day", "_day", ["_before"], span="year")
+    after = known.withColumnRenamed("_before", "_after")
+    other = asof_lookup(before, after, ["currency_code"], "_day", "_day", ["_after"], direction="forward", span="year")
+    nearest = F.coalesce("_before", "_after").alias("h_currency_pk")
+    return same.unionByName(other.select("currency_code", "_day", nearest).where("h_currency_pk is not null"))
 
 
 def link_transaction_currency(
@@ -69,7 +69,8 @@ def link_transaction_currency(
     )
     versions = h_currencies.select("currency_code", F.to_date("date_update").alias("_day"), "h_currency_pk")
     nearest = _nearest_versions(rows.select("currency_code", "_day").distinct(), versions)
-    pairs = rows.join(nearest, ["currency_code", "_day"]).join(
+    # One currency may hold half of a day's operations.
+    pairs = join_hot(rows, nearest, ["currency_code", "_day"]).join(
         h_transactions.select("operation_id", "h_transaction_pk"), "operation_id"
     )
     keys = ["h_transaction_pk", "h_currency_pk"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martloom.functions.dates import as_date
-from martloom.operators.loads import write_partitions
+from martloom.operators.loads import append, write_partitions
 from martloom.plans.sales import SHIPPED, clean_increment
 
 REJECT_COLUMN = "_corrupt_record"
@@ -115,5 +115,5 @@ def write_dated(df: DataFrame, path: str, ds: str | dt.date) -> None:
 
 
 def append_staging(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Append to a staging table."""
-    df.write.mode("append").partitionBy(*partition_cols).parquet(path)
+    """Append to a staging table, which is a table like any other."""
+    append(df, path, partition_cols)
