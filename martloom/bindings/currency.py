@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.bindings.registry import Tables, plain, query
 from martloom.functions.keys import hash_key
+from martloom.operators.lineage import cut_lineage
 from martloom.operators.vault import probed_keys
 from martloom.plans import currency
 
@@ -221,7 +222,8 @@ from (select d, currency_code, operation_id, account_number_from, min(amount) as
 
 def metrics(t: Tables, day: str | None) -> DataFrame:
     tx = transactions(t)
-    operations, versions = hub_tx(t), hub_cur(t)
+    # Hubs are stored tables; here a checkpoint stands for them, as six of the mart's inputs use them.
+    operations, versions = cut_lineage(hub_tx(t)), cut_lineage(hub_cur(t))
     return currency.daily_currency_metrics(
         operations,
         versions,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martloom.bindings.registry import Tables, plain, query
 from martloom.functions.keys import hash_key, md5_key
 from martloom.functions.text import json_field
+from martloom.operators.lineage import cut_lineage
 from martloom.plans import groups
 
 LOAD_DT = dt.datetime(2024, 2, 1)
@@ -134,6 +135,6 @@ def added_early10(t: Tables) -> DataFrame:
 )
 def group_conversion(t: Tables) -> DataFrame:
     wrote, held = messages(t, "user_id", "hk_user_id"), messages(t, "group_id", "hk_group_id")
-    known = h_groups(t)
-    members = link(t, known)
+    known = cut_lineage(h_groups(t))
+    members = cut_lineage(link(t, known))
     return plain(groups.group_conversion(members, history(t, known, members), known, wrote, held))

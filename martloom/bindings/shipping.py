@@ -145,16 +145,7 @@ def transfer(t: Tables) -> DataFrame:
 )
 def info(t: Tables) -> DataFrame:
     rows = log(t)
-    return plain(shipping.shipping_info(rows, *references(t, rows)))
-
-
-def references(t: Tables, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three stored reference tables: country rates, agreements, transfers."""
-    return (
-        shipping.shipping_country_rates(rows),
-        shipping.shipping_agreement(rows),
-        shipping.shipping_transfer(rows),
-    )
+    return plain(shipping.shipping_info(rows, *shipping.shipping_references(rows)))
 
 
 @query(
@@ -188,7 +179,7 @@ def status(t: Tables) -> DataFrame:
 )
 def datamart(t: Tables) -> DataFrame:
     rows = log(t)
-    rates, agreements, transfers = references(t, rows)
+    rates, agreements, transfers = shipping.shipping_references(rows)
     shipments = shipping.shipping_info(rows, rates, agreements, transfers)
     return plain(
         shipping.shipping_datamart(shipments, transfers, shipping.shipping_status(rows), agreements, rates, AS_OF)

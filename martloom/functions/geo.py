@@ -61,9 +61,13 @@ def vector_cell(vector: str, edge_km: float) -> Column:
     return F.expr(" + ".join(axes))
 
 
-def touching_cells(cell: str | Column) -> Column:
-    """Array of the cell itself and its 26 neighbours."""
+def touching_cells(cell: str | Column, *, half: bool = False) -> Column:
+    """Array of the cell itself and its 26 neighbours, or with ``half`` the 13 of them that follow it.
+
+    Of two neighbours one follows the other, so half of them bring every pair together once.
+    """
     dx, dy, dz = AXIS_STEPS
     moves = (-1, 0, 1)
-    steps = ", ".join(f"{i * dx + j * dy + k * dz}L" for i in moves for j in moves for k in moves)
-    return F.transform(F.expr(f"array({steps})"), lambda step: as_column(cell) + step)
+    steps = [i * dx + j * dy + k * dz for i in moves for j in moves for k in moves]
+    wanted = ", ".join(f"{step}L" for step in steps if step >= 0 or not half)
+    return F.transform(F.expr(f"array({wanted})"), lambda step: as_column(cell) + step)

@@ -116,8 +116,8 @@ def pairs_within_radius(
     """Pairs ``(left, right, distance)`` with ``left < right`` that share a group and lie within the radius.
 
     ``points`` has ``group``, ``key``, ``lat`` and ``lon``, one row per group and key. Candidates
-    meet on (group, grid cell): the left side visits the touching cells, the right side stays in
-    its own. A cell with more than ``block_rows`` rows is cut into blocks on both sides, and the
+    meet on (group, grid cell): one side visits its own cell and the neighbours that follow it, the
+    other stays in its own, so two points meet in one cell. A cell with more than ``block_rows`` rows is cut into blocks on both sides, and the
     blocks meet in different tasks.
     """
     placed = (
@@ -140,8 +140,9 @@ def pairs_within_radius(
             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         )
 
-    left = blocks(placed.withColumn("_cell", F.explode(touching_cells("_cell")))).select(
-        "_group", "_cell", F.col("_own").alias("_l"), F.col("_other").alias("_r"),
+    moved = placed.withColumn("_home", F.col("_cell")).withColumn("_cell", F.explode(touching_cells("_home", half=True)))
+    left = blocks(moved).select(
+        "_group", "_cell", "_home", F.col("_own").alias("_l"), F.col("_other").alias("_r"),
         F.col("_key").alias("left"), F.col("lat").alias("_lat1"), F.col("lon").alias("_lon1"),
     )
     right = blocks(placed).select(
@@ -150,9 +151,9 @@ def pairs_within_radius(
     )
     return (
         left.join(right, ["_group", "_cell", "_l", "_r"])
-        .where(F.col("left") < F.col("right"))
+        .where((F.col("_cell") != F.col("_home")) | (F.col("left") < F.col("right")))
         .withColumn("distance", haversine_km("_lat1", "_lon1", "_lat2", "_lon2").cast("float"))
         .where(F.col("distance") <= radius_km)
-        .select("left", "right", "distance")
+        .select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"), "distance")
         .distinct()
     )

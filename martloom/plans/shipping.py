@@ -9,10 +9,20 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import whole_days
 from martloom.functions.text import packed_field
+from martloom.operators.lineage import cut_lineage
 from martloom.operators.loads import surrogate_id
 
 RATE = "decimal(14,3)"
 
+# Columns of the log that describe a shipment's terms.
+DESCRIPTIONS = (
+    "shipping_country",
+    "shipping_country_base_rate",
+    "vendor_agreement_description",
+    "shipping_transfer_description",
+    "shipping_transfer_rate",
+)
+
 # State and status texts as the log spells them.
 RECEIVED = "recieved"
 RETURNED = "returned"
@@ -51,6 +61,18 @@ def shipping_transfer(log: DataFrame) -> DataFrame:
     return surrogate_id(fields, ["transfer_type", "transfer_model", "shipping_transfer_rate"])
 
 
+def shipping_references(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Country rates, agreements and transfers of a log that is read once for all three.
+
+    The few different descriptions are kept at a checkpoint, so that neither the serial ids nor whoever joins these
+    tables goes back to the log.
+    """
+    described = cut_lineage(log.select(*DESCRIPTIONS).distinct())
+    tables = shipping_country_rates(described), shipping_agreement(described), shipping_transfer(described)
+    rates, agreements, transfers = (cut_lineage(table) for table in tables)
+    return rates, agreements, transfers
+
+
 def shipping_info(log: DataFrame, rates: DataFrame, agreements: DataFrame, transfers: DataFrame) -> DataFrame:
     """One row per shipment with the ids of its country rate, agreement and transfer.
 
