@@ -98,6 +98,34 @@ def group_link_hash64(t: Tables) -> DataFrame:
     return plain(groups.group_link(group_log(t), users, known, LOAD_DT, SOURCE, key=hash_key))
 
 
+@query(
+    "group_link_partial",
+    VAULT_SQL
+    + """select distinct hk_link as hk_l_user_group_activity, hk_user_id, hk_group_id from link
+         where hk_user_id in (select md5(cast(user_id as varchar)) from events where user_id % 7 <> 0)
+           and hk_group_id in (select md5(cast(group_id as varchar)) from events_k where group_id % 5 <> 0)""",
+)
+def group_link_partial(t: Tables) -> DataFrame:
+    """Some users and groups of the log are not in their hubs yet: no link points to nothing."""
+    users, known = h_users(t).where("user_id % 7 <> 0"), h_groups(t).where("group_id % 5 <> 0")
+    return plain(groups.group_link(group_log(t), users, known, LOAD_DT, SOURCE).drop("load_dt", "load_src"))
+
+
+@query(
+    "group_history_partial",
+    VAULT_SQL
+    + """select case when user_id % 7 <> 0 and group_id % 5 <> 0
+                     then md5(concat_ws(chr(31), md5(cast(user_id as varchar)), md5(cast(group_id as varchar)))) end
+           as hk_l_user_group_activity, user_id_from, event, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as event_dt
+         from log""",
+)
+def group_history_partial(t: Tables) -> DataFrame:
+    """An event without its user or group in the hubs stays, under no link."""
+    users, known = h_users(t).where("user_id % 7 <> 0"), h_groups(t).where("group_id % 5 <> 0")
+    held = groups.group_link(group_log(t), users, known, LOAD_DT, SOURCE)
+    return plain(groups.group_history(group_log(t), users, known, held, LOAD_DT, SOURCE).drop("load_dt", "load_src"))
+
+
 @query(
     "group_history",
     VAULT_SQL

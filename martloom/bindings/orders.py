@@ -177,3 +177,68 @@ def product_counters(t: Tables) -> DataFrame:
 )
 def category_counters(t: Tables) -> DataFrame:
     return plain(orders.user_category_counters(orders.closed_order_items(messages(t))))
+
+
+#: Whole orders: every line is a product, and the supplier of the first line is the restaurant.
+WHOLE_SQL = LINES_SQL.replace("where l_returnflag <> 'N'", "").replace("l_returnflag\n", "l_linenumber\n")
+
+
+def whole_orders(t: Tables) -> DataFrame:
+    """One message per order with all its lines as products."""
+    product = F.struct(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("category")
+    )
+    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(
+        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
+    )
+    line = F.struct("l_linenumber", product.alias("product"), "s_suppkey", "s_name")
+    packed = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    first = F.col("lines")[0]
+    payload = F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        F.col("o_totalprice").alias("cost"),
+        F.floor("o_totalprice").alias("payment"),
+        F.when(F.col("o_orderstatus") == "F", "CLOSED").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("c_name").alias("name")).alias("user"),
+        F.struct(first["s_suppkey"].cast("string").alias("id"), first["s_name"].alias("name")).alias("restaurant"),
+        F.col("lines.product").alias("products"),
+    )
+    heads = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    body = F.struct(F.col("o_orderkey").cast("string").alias("object_id"), F.lit("order").alias("object_type"), payload.alias("payload"))
+    return heads.join(packed, F.col("l_orderkey") == F.col("o_orderkey")).select(F.to_json(body).alias("value"))
+
+
+@query(
+    "vault_whole_orders",
+    WHOLE_SQL
+    + f"""select h_order_pk, h_product_pk, {uuid_sql("h_order_pk || h_product_pk")} as hk_order_product_pk, {STAMP}
+          from (select distinct {ORDER} as h_order_pk, {PRODUCT} as h_product_pk from lines)""",
+)
+def vault_whole_orders(t: Tables) -> DataFrame:
+    return plain(orders.vault_table(orders.parse_messages(whole_orders(t)), "l_order_product", LOAD_DT))
+
+
+@query(
+    "downstream_whole_orders",
+    WHOLE_SQL
+    + f"""select {uuid_sql("order_id || '/' || cast(line as varchar)")} as object_id, {USER} as user_id,
+                 {PRODUCT} as product_id, product_name
+          from (select *, row_number() over (partition by order_id order by l_linenumber, product_id) - 1 as line from lines)
+          where status = 'CLOSED'""",
+)
+def downstream_whole_orders(t: Tables) -> DataFrame:
+    """Lines of closed orders of several products; their place in the message is part of the id."""
+    parsed = orders.parse_messages(whole_orders(t)).withColumn("source_id", F.col("object_id"))
+    sent = orders.downstream_messages(orders.closed_order_items(parsed, "source_id"), uuid3_key("source_id", "line", sep="/"))
+    return orders.parse_downstream(sent).select("object_id", "user_id", "product_id", "product_name")
+
+
+@query(
+    "counters_whole_orders",
+    WHOLE_SQL
+    + f"""select {USER} as user_id, {CATEGORY} as category_id, max(category_name) as category_name, count(*) as order_cnt
+          from lines where status = 'CLOSED' group by 1, 2""",
+)
+def counters_whole_orders(t: Tables) -> DataFrame:
+    return plain(orders.user_category_counters(orders.closed_order_items(orders.parse_messages(whole_orders(t)))))

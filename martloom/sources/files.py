@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +41,21 @@ def read_csv(
 
 
 def read_named_csv(spark: SparkSession, path: str | list[str], types: dict[str, str], *, sep: str = ",") -> DataFrame:
-    """CSV whose header decides which of the known columns a file has.
+    """CSV whose header decides which of the known columns a file has; files may have different headers.
 
-    Only the first header line is read up front; a file with another header fails the read. Unknown columns stay text; a value that does not fit
-    its type becomes NULL.
+    Files are read in groups of equal headers, and a column that a file lacks is NULL in its rows. Unknown columns stay
+    text; a value that does not fit its type becomes NULL.
     """
-    raw = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).csv(path)
+    first = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    heads = first.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    raw: DataFrame | None = None
+    for group in sorted(groups, key=lambda g: g["header"]):
+        files = [unquote(f) for f in group["files"]]
+        rows = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).csv(files)
+        raw = rows if raw is None else raw.unionByName(rows, allowMissingColumns=True)
+    if raw is None:
+        raw = spark.read.option("header", True).option("sep", sep).csv(path)
     return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 
@@ -68,8 +78,21 @@ def read_document_pages(spark: SparkSession, path: str | list[str]) -> DataFrame
     ``object_value`` is the document text; ``arrival`` orders documents by file time and
     position on the page.
     """
+    return _documents(spark.read.text(path))
+
+
+def read_document_page_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int = 100) -> DataFrame:
+    """The same as a stream over a folder in which pages land; every trigger takes a bounded number of files.
+
+    Which files were read is kept in the query's checkpoint, so a query that is stopped and started again reads each
+    page once, and pages that land meanwhile are not missed. Files must appear whole and keep their names.
+    """
+    return _documents(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path))
+
+
+def _documents(lines: DataFrame) -> DataFrame:
     file = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
-    pages = spark.read.text(path).select("value", file[0].alias("_at"), file[1].alias("_file"))
+    pages = lines.select("value", file[0].alias("_at"), file[1].alias("_file"))
     texts = F.from_json("value", "array<string>")
     docs = pages.select("_at", "_file", F.posexplode(texts).alias("_pos", "object_value"))
     place = F.lpad(F.col("_pos").cast("string"), 9, "0")
