@@ -6,35 +6,63 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from martloom.llm import decontamination, exact_dedup, near_dedup, packing, queries, toxicity
-from martloom.llm.common import shared_folder
+from martloom.llm.common import shared_folder, stored
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``gone``; rows without an id stay."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+#: Name of the column that tells the rows of a stage's input apart, whatever their ids are.
+ROW = "_pipeline_row"
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """The documents with their place in the stored table: file and row. A frame that is no table is stored first."""
+    place = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+    try:
+        return docs.select(*docs.columns, place.alias(ROW))
+    except AnalysisException:
+        kept = stored(docs, "pipeline-input")
+        return kept.select(*docs.columns, place.alias(ROW))
+
+
+def _without(named: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows that are not among ``gone``: other rows of the same id stay, rows without an id can go."""
+    columns = [c for c in named.columns if c != ROW]
+    return named.join(gone.select(ROW).distinct(), ROW, "left_anti").select(*columns)
+
+
+def _by_row(named: DataFrame) -> DataFrame:
+    """The rows under an id of their own, which orders them by ``doc_id`` first."""
+    return named.withColumn("doc_id", F.struct("doc_id", ROW))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
-    labels = queries.table(spark, sf_dir, "labels")
-    return _without(docs, toxicity.toxicity(docs, labels).where("predicted = 1"))
+    named = _named(docs)
+    model = toxicity.fit(docs, queries.table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(named.withColumn("doc_id", F.col(ROW)), model)
+    return _without(named, scored.where("predicted = 1").withColumnRenamed("doc_id", ROW))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id."""
-    return _without(docs, exact_dedup.exact_dedup(docs).where(~F.col("kept")))
+    """Of equal texts one row: that of the largest id."""
+    named = _named(docs)
+    return _without(named, exact_dedup.exact_dedup(_by_row(named)).where(~F.col("kept")).select(f"doc_id.{ROW}"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    return near_dedup.one_of_each(docs)
+    named = _named(docs)
+    return _without(named, near_dedup.near_duplicates(_by_row(named)).where(~F.col("kept")).select(f"doc_id.{ROW}"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontamination.clean_documents(docs, queries.table(spark, sf_dir, "benchmark"))
+    named = _named(docs)
+    asked = named.withColumn("doc_id", F.col(ROW))
+    leaks = decontamination.find_leaks(asked, queries.table(spark, sf_dir, "benchmark"))
+    return _without(named, leaks.withColumnRenamed("doc_id", ROW))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
