@@ -15,8 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-")
+    """The folder that the driver and all executors share; a temporary one only in local mode where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return folder or tempfile.mkdtemp(prefix="llm-")
 
 
 def stored(frame: DataFrame, name: str, keys: list[str] | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 5
 CELLS = 1 << 18
-CLOSE_SAMPLES = 38  # of BANDS * ROWS; at similarity 0.8 fewer agree once in 1,000 pairs
+CLOSE_SAMPLES = 33  # of BANDS * ROWS; at similarity 0.8 fewer agree three times in a million pairs
 
 
 class Weigher:

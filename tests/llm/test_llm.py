@@ -9,6 +9,8 @@ from math import comb
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from martloom.llm import (
     decontamination,
     exact_dedup,
@@ -422,3 +424,52 @@ def test_pipeline_keeps_columns_and_drops_in_order(spark, docs):
     texts = [r.text.lower() for r in now.collect()]
     assert len(set(texts)) == len(texts)
     assert corpus_pipeline.run(spark, FOLDER).columns[:2] == ["doc_id", "start"]
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    long = "the quick brown fox jumps over a lazy dog while many other animals look on and wonder about it all day"
+    rows = [(5, "Same text"), (5, "other clean text"), (9, "same text"), (7, "dup"), (7, "dup"), (None, "dup"), (None, None), (None, "")]
+    rows += [(1, long + " x"), (1, long + " y"), (1, "clean and short"), (None, long)]
+    docs = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], "doc_id long, text string, lang string, row string")
+    kept = corpus_pipeline.drop_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    once = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert [r for r in once if r[1]] == sorted([(5, "other clean text"), (7, "dup"), (9, "same text"), *rows[8:]], key=repr)
+    assert len(once) == 8
+    kept.write.parquet(str(tmp_path / "kept"))
+    near = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "kept")), FOLDER)
+    left = [(r.doc_id, r.text) for r in near.collect()]
+    assert sum(bool(t) and t.startswith(long) for _, t in left) == 1 and (1, "clean and short") in left and len(left) == 6
+
+
+def test_pipeline_drops_toxic_and_leaked_rows_without_an_id(spark):
+    import corpus_pipeline
+
+    folder = FOLDER.replace("sf0.001", "sf0.1")
+    docs, labels = queries.table(spark, folder, "documents"), queries.table(spark, folder, "labels").where("toxic = 1")
+    toxic = docs.join(labels, "doc_id").select(*docs.columns).orderBy("doc_id").limit(5)
+    item = queries.table(spark, folder, "benchmark").where("length(text) > 60").first().text
+    leak = spark.createDataFrame([(None, f"before {item} after", "en", None, 1), (3, "clean words", "en", None, 1), (3, item, "en", None, 1)], docs.schema)
+    nameless = toxic.withColumn("doc_id", F.lit(None).cast("long")).unionByName(leak)
+    clean = corpus_pipeline.drop_leaks(spark, nameless, folder)
+    assert [r.doc_id for r in clean.where("source is null").collect()] == [3]
+    whole = docs.unionByName(nameless)
+    left = corpus_pipeline.drop_toxic(spark, whole, folder)
+    gone = {r.text for r in toxic.collect()} - {r.text for r in left.collect()}
+    assert len(gone) >= 4 and left.where("text = 'clean words'").count() == 1
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from martloom.llm import common
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session)
