@@ -9,6 +9,9 @@ from martloom.bindings import oracles, queries
 
 FOLDER = "/root/testdata/sf0.001"
 
+#: Checks that find nothing to report in the smallest tables.
+MAY_BE_EMPTY: set[str] = set()
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -22,7 +25,7 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(oracles()))
 def test_query_equals_sql(spark, con, name):
     problem = difference(queries()[name](spark, FOLDER), con, oracles()[name])
-    assert problem in (None, "no rows")
+    assert problem is None or (problem == "no rows" and name in MAY_BE_EMPTY)
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - set(oracles())))
