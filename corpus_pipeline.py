@@ -17,8 +17,10 @@ ROW = "_pipeline_row"
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """The documents with their place in the stored table: file and row. A frame that is no table is stored first."""
-    place = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+    """The documents with their place in the stored table: 64-bit hash of the file's path, and row. Two numbers are
+    carried through the operators with less memory than a path. A frame that is no table is stored first.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     try:
         return docs.select(*docs.columns, place.alias(ROW))
     except AnalysisException:
