@@ -4,6 +4,11 @@ Words fall into classes: each of the most frequent words is a class of its own,
 their last letters. The network predicts the class of a token from the two classes before it; within a class a word
 has its smoothed share of the corpus counts. Both factors sum to one, so the product is a normalised probability:
 the network's normaliser is computed for all pairs of classes by batched matrix products.
+
+The network learns from every training token: tasks count how often each class follows two others, the counts are dealt
+to shards of equal size and like mass, and in each round all shards are trained side by side from the same weights,
+whose mean by mass starts the next round. The driver sees one set of weights a round. The number of classes of single
+words grows with the tokens, and the counts and shards with the corpus, up to one count for each triple of classes.
 """
 
 from __future__ import annotations
@@ -14,20 +19,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import chunks, fold_of, stored, whole_text
 
-OWN_CLASSES = 383
+OWN_RATE, OWN_POWER, OWN_LIMIT = 24, 1 / 6, 1919  # words with a class of their own: rate * tokens ** power
 ENDING_CLASSES = 128
 WIDTH = 32
 COMMON_WORDS = 300_000
-SAMPLE_DOCUMENTS = 4000
+CLASS_BITS = 12
+ROUNDS = 2
+SHARD_ROWS = 400_000
+HEAVY = 4  # a count of more than this many means is trained in several parts
+BLOCKS = 16
 FOLDS, HELD_OUT = 10, 0
 ALPHA = 0.1
 END_TOKEN = b" "  # no word holds a blank
 FLUSH_WORDS = 1_000_000
+FLUSH_TOKENS = 2_000_000
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -38,15 +49,21 @@ def tokens_of(text: str) -> list[bytes]:
 def ending_class(word: bytes) -> int:
     """Class of a word that has none of its own: by its last two letters; commas and stops at the end count apart."""
     body = word.rstrip(b".,;:!?")
-    return OWN_CLASSES + 1 + zlib.crc32(body.decode(errors="replace")[-2:].encode() + word[len(body) : len(body) + 1]) % ENDING_CLASSES
+    return zlib.crc32(body.decode(errors="replace")[-2:].encode() + word[len(body) : len(body) + 1]) % ENDING_CLASSES
+
+
+def own_classes(tokens: int) -> int:
+    """How many of the most frequent words have a class of their own."""
+    return min(OWN_LIMIT, 1 + round(OWN_RATE * tokens**OWN_POWER))
 
 
 class Words:
     """Packed class and place of words; place 0 stands for any word that is not among the common ones."""
 
-    def __init__(self, common: list[tuple[bytes, int]]):
-        own = sorted(common, key=lambda x: (-x[1], x[0]))[: OWN_CLASSES + 1]
-        self.own = {w: i for i, (w, _) in enumerate(own)}
+    def __init__(self, common: list[tuple[bytes, int]], most_own: int):
+        own = sorted(common, key=lambda x: (-x[1], x[0]))[:most_own]
+        self.own = {w: ENDING_CLASSES + i for i, (w, _) in enumerate(own)}
+        self.classes = ENDING_CLASSES + len(own)
         self.packed = {w: (i + 1) << 16 | self.class_of(w) for i, (w, _) in enumerate(common)}
         self.counts = np.array([0, *(c for _, c in common)], np.int64)
         self.other: dict[bytes, int] = {}
@@ -67,6 +84,14 @@ class Words:
         return np.array(found, np.int64)
 
 
+def sum_by(kinds: np.ndarray, rows: np.ndarray, classes: int) -> np.ndarray:
+    """The sum of the rows of each class."""
+    width = rows.shape[1]
+    out = np.zeros(classes * width, np.float32)
+    np.add.at(out, (kinds[:, None].astype(np.int64) * width + np.arange(width)).ravel(), rows.ravel())
+    return out.reshape(classes, width)
+
+
 class Network:
     """Class vectors as context (for each of two places) and as target, with target biases."""
 
@@ -75,39 +100,66 @@ class Network:
         self.near, self.far, self.target = (dice.normal(0, 0.1, (classes, WIDTH)).astype(np.float32) for _ in range(3))
         self.bias = np.zeros(classes, np.float32)
 
-    def train(self, far: np.ndarray, near: np.ndarray, target: np.ndarray, epochs: int = 4, batch: int = 4096, noise: int = 96):
-        """Noise-contrastive estimation: a batch shares ``noise`` classes drawn by their frequency."""
-        dice, classes = np.random.default_rng(11), len(self.bias)
-        share = (np.bincount(target, minlength=classes) + 1.0) / (len(target) + classes)
-        self.bias[:] = np.log(share)
-        held = [self.near, self.far, self.target, self.bias]
-        power = [np.full(p.shape, 1e-6, np.float32) for p in held]
+    def flat(self) -> np.ndarray:
+        """All weights in one row."""
+        return np.concatenate([p.ravel() for p in (self.near, self.far, self.target, self.bias)])
+
+    def load(self, flat: np.ndarray) -> Network:
+        """The weights that ``flat`` gave."""
+        for p in (self.near, self.far, self.target, self.bias):
+            p.ravel()[:], flat = flat[: p.size], flat[p.size :]
+        return self
+
+    def train(
+        self,
+        far: np.ndarray,
+        near: np.ndarray,
+        target: np.ndarray,
+        weight: np.ndarray | None = None,
+        share: np.ndarray | None = None,
+        epochs: int = 4,
+        batch: int = 768,
+        noise: int = 96,
+        seed: tuple[int, ...] = (11,),
+        rates: tuple[float, float] = (0.03, 0.0006),
+    ) -> Network:
+        """Noise-contrastive estimation: a batch shares ``noise`` classes drawn by their frequency.
+
+        A row counts ``weight`` times. With ``share``, the frequency of the classes, the network's biases stay as they
+        are; else both are taken from the targets. The rate falls from the first of ``rates`` to the second.
+        """
+        dice, classes = np.random.default_rng(seed), len(self.bias)
+        weight = np.ones(len(target), np.float32) if weight is None else weight.astype(np.float32)
+        if share is None:
+            share = (np.bincount(target, minlength=classes) + 1.0) / (len(target) + classes)
+            self.bias[:] = np.log(share)
+        log_noise = np.log(noise * share).astype(np.float32)
+        held = [self.near, self.far, self.target, self.bias[:, None]]
+        power = [np.zeros(p.shape, np.float32) for p in held]
         steps, done = epochs * max(1, -(-len(target) // batch)), 0
         for _ in range(epochs):
             order = dice.permutation(len(target))
             for start in range(0, len(order), batch):
                 rows = order[start : start + batch]
-                a, b, t = far[rows], near[rows], target[rows]
+                a, b, t, w = far[rows], near[rows], target[rows], weight[rows]
+                w = w / w.sum()
                 drawn = dice.choice(classes, noise, p=share)
                 context = self.near[b] + self.far[a]
-                own = (context * self.target[t]).sum(axis=1) + self.bias[t] - np.log(noise * share[t])
-                false = context @ self.target[drawn].T + self.bias[drawn] - np.log(noise * share[drawn])
-                g_own = (1 / (1 + np.exp(-np.clip(own, -30, 30))) - 1).astype(np.float32) / len(rows)
-                g_false = (1 / (1 + np.exp(-np.clip(false, -30, 30)))).astype(np.float32) / len(rows)
+                own = np.einsum("ij,ij->i", context, self.target[t]) + self.bias[t] - log_noise[t]
+                false = context @ self.target[drawn].T + (self.bias[drawn] - log_noise[drawn])
+                g_own = (w * (1 / (1 + np.exp(-np.clip(own, -30, 30))) - 1)).astype(np.float32)
+                g_false = w[:, None] / (1 + np.exp(-np.clip(false, -30, 30)))
                 g_context = g_own[:, None] * self.target[t] + g_false @ self.target[drawn]
-                grads = [np.zeros_like(p) for p in held]
-                np.add.at(grads[0], b, g_context)
-                np.add.at(grads[1], a, g_context)
-                np.add.at(grads[2], t, g_own[:, None] * context)
-                np.add.at(grads[2], drawn, g_false.T @ context)
-                np.add.at(grads[3], t, g_own)
-                np.add.at(grads[3], drawn, g_false.sum(axis=0))
-                rate = 0.1 * (1 - done / steps) + 0.002
+                g_target = np.hstack([g_own[:, None] * context, g_own[:, None]])
+                g_target = sum_by(t, g_target, classes)
+                np.add.at(g_target, drawn, np.hstack([g_false.T @ context, g_false.sum(axis=0)[:, None]]))
+                grads = [sum_by(b, g_context, classes), sum_by(a, g_context, classes), g_target[:, :-1], g_target[:, -1:]]
+                rate = rates[0] + (rates[1] - rates[0]) * done / steps
                 done += 1
                 for p, g, s in zip(held, grads, power, strict=True):  # scaled by the recent size of each gradient
                     s *= 0.98
                     s += 0.02 * g * g
-                    p -= rate * 0.3 * g / (np.sqrt(s) + 1e-5)
+                    p -= rate * g / (np.sqrt(s / (1 - 0.98**done)) + 1e-5)
         return self
 
     def normalisers(self, batch: int = 4096) -> np.ndarray:
@@ -154,12 +206,101 @@ def common_words(counts: DataFrame, most: int = COMMON_WORDS) -> list[tuple[byte
     return sorted(((bytes(r.word), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def score_corpus(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
+def class_triples(training: DataFrame, words: Broadcast) -> DataFrame:
+    """(triple, n): how often a class follows two others, over all training texts; tasks combine before they emit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, tokens = words.value, [], 0
+        end = own.class_of(END_TOKEN)
+
+        def out() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["triple", "n"])
+
+        for batch in chunks(batches):
+            for text in batch.column(0).to_pylist():
+                k = np.r_[end, end, own(tokens_of(text)) & 0xFFFF]
+                held.append(k[:-2] << 2 * CLASS_BITS | k[1:-1] << CLASS_BITS | k[2:])
+                tokens += len(k) - 2
+                if tokens > FLUSH_TOKENS:
+                    yield out()
+                    tokens = 0
+        if held:
+            yield out()
+
+    return training.select("text").mapInArrow(run, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+
+
+def deal_shards(triples: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row per shard: its triples, and the part of each one's count that it holds.
+
+    A heavy count is dealt in equal parts to as many shards as it is heavy, so no shard is ruled by one triple.
+    """
+    held = triples.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows, tokens = int(held[0]), int(held[1])
+    shards = max(1, -(-rows // shard_rows))
+    parts = F.least(F.ceil(F.col("n") / (HEAVY * max(tokens, 1) / max(rows, 1))), F.lit(shards)).cast("int")
+    dealt = triples.select("triple", "n", parts.alias("parts"), F.explode(F.sequence(F.lit(1), parts)).alias("part"))
+    shard = ((F.pmod(F.xxhash64("triple"), F.lit(shards)) + F.col("part")) % shards).cast("int")
+    weight = (F.col("n") / F.col("parts")).cast("float")
+
+    def pack(table: pa.Table) -> pa.Table:
+        of, triple, weights = (table.column(i).to_numpy() for i in range(3))
+        order = np.argsort(triple, kind="stable")
+        columns = [[int(of[0])], [triple[order].astype("<i8").tobytes()], [weights[order].astype("<f4").tobytes()]]
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["shard", "triples", "weights"])
+
+    grouped = dealt.select(shard.alias("shard"), "triple", weight.alias("weight")).repartition(shards, "shard")
+    return grouped.groupBy("shard").applyInArrow(pack, "shard int, triples binary, weights binary")
+
+
+def train_on_shards(network: Network, shards: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Network:
+    """The network after ``rounds`` in which every shard starts from the same weights and their means by mass are taken."""
+    spark = shards.sparkSession
+    network.bias[:] = np.log(share)
+    top, low = 0.03, 0.0006
+    for at in range(rounds):
+        shared = spark.sparkContext.broadcast((network.flat(), share))
+        rates = tuple(top + (low - top) * i / rounds for i in (at, at + 1))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rates=rates, at=at) -> Iterator[pa.RecordBatch]:
+            flat, by_class = shared.value
+            mask = (1 << CLASS_BITS) - 1
+            for shard, triples, weights in ((x.as_py() for x in row) for batch in batches for row in zip(*batch.columns, strict=True)):
+                triple, weight = np.frombuffer(triples, "<i8"), np.frombuffer(weights, "<f4").astype(np.float64)
+                parts = np.ceil(weight / (HEAVY * weight.mean())).astype(np.int64)
+                triple, weight = np.repeat(triple, parts), np.repeat(weight / parts, parts)
+                far, near, target = ((triple >> b & mask).astype(np.int16) for b in (2 * CLASS_BITS, CLASS_BITS, 0))
+                own = Network(len(by_class)).load(flat)
+                own.train(far, near, target, weight, by_class, epochs=1, seed=(11, at, shard), rates=rates)
+                blocks = [b.astype("<f4").tobytes() for b in np.array_split(own.flat(), BLOCKS)]
+                columns = [list(range(BLOCKS)), [shard] * BLOCKS, [float(weight.sum())] * BLOCKS, blocks]
+                kinds = (pa.int32(), pa.int32(), pa.float64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "shard", "mass", "weights"])
+
+        def mean(table: pa.Table) -> pa.Table:
+            rows = sorted(table.to_pylist(), key=lambda r: r["shard"])
+            mass = sum(r["mass"] for r in rows)
+            total = sum(np.frombuffer(r["weights"], "<f4") * (r["mass"] / mass) for r in rows)
+            return pa.table({"block": pa.array([rows[0]["block"]], pa.int32()), "weights": pa.array([total.astype("<f4").tobytes()], pa.binary())})
+
+        trained = shards.mapInArrow(run, "block int, shard int, mass double, weights binary")
+        blocks = trained.groupBy("block").applyInArrow(mean, "block int, weights binary").collect()  # BLOCKS rows
+        if blocks:
+            network.load(np.concatenate([np.frombuffer(r.weights, "<f4") for r in sorted(blocks, key=lambda r: r.block)]))
+        shared.unpersist()
+    return network
+
+
+def score_corpus(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    All counts cover every training document; only the network's weights are fitted on about ``sample_documents`` of
-    them. A null text is empty and has the end token alone; a null id is hashed as the text ``null``; repeated rows
-    are scored and counted each. Without training tokens both scores are those of unseen words.
+    Counts and the network's weights come from every training document. A null text is empty and has the end token
+    alone; a null id is hashed as the text ``null``; repeated rows are scored and counted each; very long texts are
+    scored whole. Without training tokens both scores are those of unseen words; an empty table gives an empty result.
+    Columns other than ``doc_id`` and ``text`` are not read, whatever their names.
     """
     spark = docs.sparkSession
     held = (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out")
@@ -168,8 +309,8 @@ def score_corpus(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> D
     counts = stored(count_words(training), "word-counts")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n_all, n_words = int(sums[0]), int(sums[1])
-    words = spark.sparkContext.broadcast(Words(common_words(counts)))  # at most COMMON_WORDS words
-    classes = OWN_CLASSES + 1 + ENDING_CLASSES
+    words = spark.sparkContext.broadcast(Words(common_words(counts), own_classes(n_all)))  # at most COMMON_WORDS words
+    classes = words.value.classes
 
     def class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v, of = np.zeros(classes, np.int64), np.zeros(classes, np.int64), words.value.class_of
@@ -180,28 +321,16 @@ def score_corpus(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> D
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(n), pa.array(v)], names=["k", "n", "v"])
 
     held_by = counts.mapInArrow(class_sums, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    within = np.zeros(classes)  # log10 of each class's denominator
+    within, share = np.zeros(classes), np.ones(classes)  # log10 of each class's denominator, and its frequency
     for r in held_by.collect():
         within[r.k] = r.n + ALPHA * (r.v + 1)
+        share[r.k] += r.n
     within = np.log10(np.where(within > 0, within, ALPHA))
 
-    def class_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = words.value
-        for batch in chunks(batches):
-            runs = [(own(tokens_of(t)) & 0xFFFF).astype("<u2").tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(runs, pa.binary())], names=["run"])
-
-    n_docs = training.count()
-    dice = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 11) / float(1 << 53)
-    chosen = training.where(dice < sample_documents / max(n_docs, 1)).select("text")
-    runs = [np.frombuffer(r.run, "<u2").astype(np.int64) for r in chosen.mapInArrow(class_runs, "run binary").collect()]
     end = words.value.class_of(END_TOKEN)
-    network = Network(classes)
-    if runs:
-        padded = np.concatenate([np.r_[end, end, r] for r in sorted(runs, key=lambda r: r.tobytes())])
-        real = np.concatenate([np.r_[False, False, np.ones(len(r), bool)] for r in sorted(runs, key=lambda r: r.tobytes())])
-        at = np.nonzero(real)[0]
-        network.train(padded[at - 2], padded[at - 1], padded[at])
+    triples = stored(class_triples(training, words), "class-triples")
+    shards = stored(deal_shards(triples), "class-shards")
+    network = train_on_shards(Network(classes), shards, share / share.sum(), rounds)
     log_z = network.normalisers()
     weights = spark.sparkContext.broadcast((network.near, network.far, network.target, network.bias, log_z, within))
 

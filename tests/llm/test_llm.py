@@ -173,6 +173,50 @@ def test_base_score_and_counts_equal_brute_force(docs):
     assert better > 0.7 * sum(held.values())
 
 
+def test_scores_of_edges(spark, edges, none):
+    """Null and repeated rows, a very long text and columns with clashing names; an empty table."""
+    long = spark.createDataFrame([(50, "one two " * 200_000), (51, None), (51, "one two three")], "doc_id long, text string")
+    clashing = long.select("*", *(F.lit(1).alias(c) for c in ("word", "n", "row", "held_out", "shard", "triple")))
+    got = language_model.score_corpus(clashing).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == [(50, 400_001), (51, 1), (51, 4)]
+    assert all(np.isfinite(r.score) and np.isfinite(r.base_score) for r in got)
+    assert language_model.score_corpus(edges).count() == edges.count()
+    assert language_model.score_corpus(none).count() == 0
+
+
+def test_class_triples_cover_all_training_tokens(spark, docs):
+    """Counts of classes after two others against brute force; shards hold every count in full, and share heavy ones."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    words = language_model.Words([(b"the", 9), (b"of", 8), (language_model.END_TOKEN, 7)], 3)
+    end, want = words.class_of(language_model.END_TOKEN), defaultdict(int)
+    for r in texts.collect():
+        k = [end, end, *(words.class_of(w) for w in language_model.tokens_of(r.text))]
+        for a, b, c in zip(k, k[1:], k[2:]):
+            want[a << 24 | b << 12 | c] += 1
+    found = language_model.class_triples(texts, spark.sparkContext.broadcast(words))
+    assert {r.triple: r.n for r in found.collect()} == want
+    shards = language_model.deal_shards(found, shard_rows=max(1, len(want) // 4)).collect()
+    dealt, masses = defaultdict(float), []
+    for r in shards:
+        weights = np.frombuffer(r.weights, "<f4")
+        masses.append(weights.sum())
+        for t, w in zip(np.frombuffer(r.triples, "<i8"), weights, strict=True):
+            dealt[int(t)] += w
+    assert dealt == pytest.approx(want, rel=1e-5) and len(shards) >= 4 and max(masses) < 2 * sum(masses) / len(masses)
+
+
+def test_network_learns_from_every_shard(spark):
+    """Each shard alone knows one follower of a class; the mean of the shards knows all of them."""
+    rows = [(a << 24 | b << 12 | (b + 1) % 8, 500) for a in range(8) for b in range(8)]
+    triples = spark.createDataFrame(rows, "triple long, n long")
+    share = np.full(8, 1 / 8)
+    network = language_model.train_on_shards(language_model.Network(8), language_model.deal_shards(triples, 16), share, rounds=20)
+    hits = sum(int(((network.near[b] + network.far[a]) @ network.target.T + network.bias).argmax() == (b + 1) % 8) for a in range(8) for b in range(8))
+    assert hits > 56
+    once, again = (language_model.train_on_shards(language_model.Network(8), language_model.deal_shards(triples, 16), share, 1) for _ in "ab")
+    assert (once.flat() == again.flat()).all()
+
+
 def test_network_is_normalised():
     dice = np.random.default_rng(0)
     far, near, target = dice.integers(0, 20, (3, 5000))
