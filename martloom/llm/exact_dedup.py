@@ -1,14 +1,17 @@
 """Exact deduplication over an extendible-hash index, in DataFrame operations only.
 
-Texts meet by a 64-bit key. A directory over the leading bits of the keys doubles until no bucket holds more than
-``capacity`` keys (or ``depth_limit`` bits are used; such a bucket simply stays larger). Each bucket's records lie in
-shared files, ordered by bucket, and hold a key with the chain of different texts that share it. The chain is made by
-grouping on the key and the whole text, so texts are compared byte for byte and a collision is one more link.
+Texts meet by a 64-bit key. A directory over the leading bits of the keys comes first: it doubles until no bucket holds
+more than ``capacity`` keys (or ``depth_limit`` bits are used; such a bucket simply stays larger). Then the texts are
+dealt to their buckets, where equal ones are told by their bytes and become one link each; owner tasks take ranges of
+buckets and keys, chain the links of different texts that share a key, and write the index to shared files. A document
+finds its link through its slot of the directory, the bucket, the key and the chain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import lower_ascii, stored, whole_text
@@ -17,59 +20,74 @@ DEPTH_LIMIT = 16
 CAPACITY = 4096
 
 
-def chains(docs: DataFrame) -> DataFrame:
-    """(key, chain): the different normalised texts under a key, each with the row that stays and its number of rows.
-
-    Rows are combined before the shuffle, so a text that a third of all rows share moves once per task.
-    """
-    norm = lower_ascii(whole_text())
-    links = (
-        docs.select("doc_id", norm.alias("norm"))
-        .groupBy(F.xxhash64("norm").alias("key"), "norm")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.struct(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size").alias("link"))
-    )
-    return links.groupBy("key").agg(F.sort_array(F.collect_list("link")).alias("chain"))
+def _keyed(docs: DataFrame, key_of: Callable[[Column], Column], depth_limit: int) -> DataFrame:
+    """The documents' normalised texts with their key and slot."""
+    keyed = docs.select("doc_id", lower_ascii(whole_text()).alias("norm")).withColumn("key", key_of(F.col("norm")))
+    return keyed.withColumn("slot", F.shiftrightunsigned("key", 64 - depth_limit))
 
 
 def directory(keys: DataFrame, capacity: int = CAPACITY, depth_limit: int = DEPTH_LIMIT) -> DataFrame:
-    """(slot, depth, bucket) for each used slot of the fully doubled directory.
+    """(slot, depth, bucket) for every slot of the fully doubled directory: 2 ** ``depth_limit`` rows, whatever the input.
 
-    ``bucket`` is the shortest prefix of the slot whose keys fit; slots with one prefix point to one bucket. At most
-    2 ** ``depth_limit`` rows, whatever the input.
+    A prefix of the slots whose keys exceed ``capacity`` is split in two; the buckets are the halves that fit, and the
+    whole where nothing was split. All slots of a bucket point to its first slot. Overfull prefixes are counted with
+    partial sums, so that no task meets all slots.
     """
-    slots = keys.groupBy(F.shiftrightunsigned("key", 64 - depth_limit).alias("slot")).agg(
-        F.count(F.lit(1)).alias("keys")
-    )
-    doubled = slots.select("*", F.explode(F.sequence(F.lit(0), F.lit(depth_limit))).alias("depth")).select(
-        "slot", "keys", "depth", F.expr(f"shiftright(slot, {depth_limit} - depth)").alias("prefix")
+    slots = keys.groupBy(F.shiftrightunsigned("key", 64 - depth_limit).alias("slot")).agg(F.count(F.lit(1)).alias("keys"))
+    prefixes = slots.select("slot", "keys", F.explode(F.sequence(F.lit(0), F.lit(depth_limit - 1))).alias("depth"))
+    overfull = (
+        prefixes.groupBy("depth", F.expr(f"shiftright(slot, {depth_limit} - depth)").alias("prefix"))
+        .agg(F.sum("keys").alias("held"))
+        .where(F.col("held") > capacity)
+        .select("depth", "prefix")
     )
-    held = doubled.groupBy("depth", "prefix").agg(F.sum("keys").alias("held"))
-    fitting = doubled.join(held, ["depth", "prefix"]).where(
-        (F.col("held") <= capacity) | (F.col("depth") == depth_limit)
+    whole = keys.sparkSession.range(1).select(F.lit(0).alias("depth"), F.col("id").alias("prefix"))
+    halves = overfull.select(
+        (F.col("depth") + 1).alias("depth"),
+        F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"),
     )
-    leaf = fitting.groupBy("slot").agg(F.min(F.struct("depth", "prefix")).alias("leaf"))
-    first = F.expr(f"shiftleft(leaf.prefix, {depth_limit} - leaf.depth)")
-    return leaf.select("slot", F.col("leaf.depth").alias("depth"), first.alias("bucket"))
+    buckets = whole.union(halves).join(overfull, ["depth", "prefix"], "left_anti")
+    return _slots(buckets.select("depth", F.expr(f"shiftleft(prefix, {depth_limit} - depth)").alias("bucket")), depth_limit)
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, depth_limit: int = DEPTH_LIMIT) -> DataFrame:
-    """The index on shared files: (bucket, depth, key, chain), dealt to owner tasks by ranges of buckets and keys."""
-    records = stored(chains(docs), "chains")
-    slots = directory(records, capacity, depth_limit)
-    placed = records.withColumn("slot", F.shiftrightunsigned("key", 64 - depth_limit)).join(
-        F.broadcast(slots), "slot"  # at most 2 ** depth_limit rows of three integers
-    )
-    owned = placed.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
-    return stored(owned.select("bucket", "depth", "key", "chain"), "hash-index")
+def _slots(buckets: DataFrame, depth_limit: int) -> DataFrame:
+    last = F.expr(f"bucket + shiftleft(1L, {depth_limit} - depth) - 1")
+    return buckets.select(F.explode(F.sequence("bucket", last)).alias("slot"), "depth", "bucket")
+
 
+def build_index(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    depth_limit: int = DEPTH_LIMIT,
+    key_of: Callable[[Column], Column] = F.xxhash64,
+) -> DataFrame:
+    """The index on shared files: (bucket, depth, key, chain), dealt to owner tasks by ranges of buckets and keys.
 
-def look_up(docs: DataFrame, index: DataFrame) -> DataFrame:
-    """Each document's link in the chain of its key."""
-    norm = lower_ascii(whole_text())
-    asked = docs.select("doc_id", F.xxhash64(norm).alias("key"), F.sha2(norm, 256).alias("text_sha256"))
+    A chain holds the different texts under a key, each with the row that stays and its number of rows. Rows of a
+    bucket are combined before the shuffle, so a text that a third of all rows share moves once per task.
+    """
+    keyed = _keyed(docs, key_of, depth_limit)
+    slots = directory(keyed.select("key").distinct(), capacity, depth_limit)
+    dealt = keyed.join(F.broadcast(slots), "slot")  # 2 ** depth_limit rows of three integers
+    links = (
+        dealt.groupBy("bucket", "depth", "key", "norm")
+        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .select("bucket", "depth", "key", F.struct(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size").alias("link"))
+    )
+    owned = stored(links, "links").repartitionByRange("bucket", "key")
+    chained = owned.groupBy("bucket", "depth", "key").agg(F.sort_array(F.collect_list("link")).alias("chain"))
+    return stored(chained.sortWithinPartitions("bucket", "key"), "hash-index")
+
+
+def look_up(
+    docs: DataFrame, index: DataFrame, depth_limit: int = DEPTH_LIMIT, key_of: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
+    """Each document's link: its slot gives the bucket, the bucket's files the chain of its key."""
+    slots = _slots(index.select("depth", "bucket").distinct(), depth_limit)
+    asked = _keyed(docs, key_of, depth_limit).withColumn("text_sha256", F.sha2("norm", 256)).drop("norm")
+    placed = asked.join(F.broadcast(slots), "slot").select("doc_id", "bucket", "key", "text_sha256")
     link = F.filter("chain", lambda x: x["text_sha256"] == F.col("text_sha256"))[0]
-    found = asked.join(index.select("key", "chain"), "key").withColumn("link", link)
+    found = placed.join(index.drop("depth"), ["bucket", "key"]).withColumn("link", link)
     return found.select(
         "doc_id",
         F.col("link.keep_id").alias("keep_id"),
@@ -86,4 +104,4 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, depth_limit: int = DE
     stays; rows that repeat that doc_id within the group are all marked as kept; a null doc_id stays only in a group
     of null ids. An empty table gives an empty result, other columns are not read.
     """
-    return look_up(docs, build_index(docs, capacity, depth_limit))
+    return look_up(docs, build_index(docs, capacity, depth_limit), depth_limit)

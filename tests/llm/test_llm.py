@@ -70,6 +70,31 @@ def test_directory_splits_overfull_buckets(spark, docs):
     assert len({r.bucket for r in held}) == len(held)
 
 
+def test_directory_covers_every_slot_once(spark):
+    """16 slots with 1 key each but for slot 5 with 40: only the prefixes of slot 5 are split, to the limit."""
+    def key(slot, i):
+        return (slot << 60 | i) - (1 << 64 if slot > 7 else 0)
+
+    rows = [(key(s, i),) for s in range(16) for i in range(40 if s == 5 else 1)]
+    found = exact_dedup.directory(spark.createDataFrame(rows, "key long"), capacity=10, depth_limit=4).collect()
+    assert sorted(r.slot for r in found) == list(range(16))
+    got = {r.slot: (r.depth, r.bucket) for r in found}
+    want = {5: (4, 5), 4: (4, 4), 6: (3, 6), 7: (3, 6)} | {s: (2, 0) for s in range(4)} | {s: (1, 8) for s in range(8, 16)}
+    assert got == want
+
+
+def test_texts_that_share_a_key_are_chained(edges, docs):
+    """A key that collides for all texts of one length: the whole result stays that of 64-bit hashes."""
+    def poor(norm):
+        return F.length(norm).cast("long")
+
+    for rows in (edges, docs):
+        index = exact_dedup.build_index(rows, 4, 6, poor)
+        got = plain(exact_dedup.look_up(rows, index, 6, poor), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+        assert got == plain(exact_dedup.exact_dedup(rows), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert index.where("size(chain) > 1").count() > 0
+
+
 # packing ---------------------------------------------------------------------------------------------------------------
 
 
