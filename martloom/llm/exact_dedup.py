@@ -20,10 +20,18 @@ DEPTH_LIMIT = 16
 CAPACITY = 4096
 
 
-def _keyed(docs: DataFrame, key_of: Callable[[Column], Column], depth_limit: int) -> DataFrame:
-    """The documents' normalised texts with their key and slot."""
-    keyed = docs.select("doc_id", lower_ascii(whole_text()).alias("norm")).withColumn("key", key_of(F.col("norm")))
-    return keyed.withColumn("slot", F.shiftrightunsigned("key", 64 - depth_limit))
+def _slot(depth_limit: int) -> Column:
+    return F.shiftrightunsigned("key", 64 - depth_limit).alias("slot")
+
+
+def _keyed(docs: DataFrame, key_of: Callable[[Column], Column]) -> DataFrame:
+    """The documents' normalised texts with their key."""
+    return docs.select("doc_id", lower_ascii(whole_text()).alias("norm")).withColumn("key", key_of(F.col("norm")))
+
+
+def digests(docs: DataFrame, key_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """(doc_id, key, text_sha256) of every document, on shared files: what the directory and the look-up need."""
+    return stored(_keyed(docs, key_of).select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")), "digests")
 
 
 def directory(keys: DataFrame, capacity: int = CAPACITY, depth_limit: int = DEPTH_LIMIT) -> DataFrame:
@@ -33,7 +41,7 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, depth_limit: int = DEPT
     whole where nothing was split. All slots of a bucket point to its first slot. Overfull prefixes are counted with
     partial sums, so that no task meets all slots.
     """
-    slots = keys.groupBy(F.shiftrightunsigned("key", 64 - depth_limit).alias("slot")).agg(F.count(F.lit(1)).alias("keys"))
+    slots = keys.groupBy(_slot(depth_limit)).agg(F.count(F.lit(1)).alias("keys"))
     prefixes = slots.select("slot", "keys", F.explode(F.sequence(F.lit(0), F.lit(depth_limit - 1))).alias("depth"))
     overfull = (
         prefixes.groupBy("depth", F.expr(f"shiftright(slot, {depth_limit} - depth)").alias("prefix"))
@@ -60,15 +68,18 @@ def build_index(
     capacity: int = CAPACITY,
     depth_limit: int = DEPTH_LIMIT,
     key_of: Callable[[Column], Column] = F.xxhash64,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """The index on shared files: (bucket, depth, key, chain), dealt to owner tasks by ranges of buckets and keys.
 
     A chain holds the different texts under a key, each with the row that stays and its number of rows. Rows of a
-    bucket are combined before the shuffle, so a text that a third of all rows share moves once per task.
+    bucket are combined before the shuffle, so a text that a third of all rows share moves once per task. ``asked`` are
+    the documents' ``digests`` where they are at hand.
     """
-    keyed = _keyed(docs, key_of, depth_limit)
-    slots = directory(keyed.select("key").distinct(), capacity, depth_limit)
-    dealt = keyed.join(F.broadcast(slots), "slot")  # 2 ** depth_limit rows of three integers
+    keys = (digests(docs, key_of) if asked is None else asked).select("key").distinct()
+    slots = stored(directory(keys, capacity, depth_limit), "directory")
+    # 2 ** depth_limit rows of three integers
+    dealt = _keyed(docs, key_of).withColumn("slot", _slot(depth_limit)).join(F.broadcast(slots), "slot")
     links = (
         dealt.groupBy("bucket", "depth", "key", "norm")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -79,13 +90,10 @@ def build_index(
     return stored(chained.sortWithinPartitions("bucket", "key"), "hash-index")
 
 
-def look_up(
-    docs: DataFrame, index: DataFrame, depth_limit: int = DEPTH_LIMIT, key_of: Callable[[Column], Column] = F.xxhash64
-) -> DataFrame:
-    """Each document's link: its slot gives the bucket, the bucket's files the chain of its key."""
+def look_up(asked: DataFrame, index: DataFrame, depth_limit: int = DEPTH_LIMIT) -> DataFrame:
+    """The link of each of the ``digests``: its slot gives the bucket, the bucket's files the chain of its key."""
     slots = _slots(index.select("depth", "bucket").distinct(), depth_limit)
-    asked = _keyed(docs, key_of, depth_limit).withColumn("text_sha256", F.sha2("norm", 256)).drop("norm")
-    placed = asked.join(F.broadcast(slots), "slot").select("doc_id", "bucket", "key", "text_sha256")
+    placed = asked.withColumn("slot", _slot(depth_limit)).join(F.broadcast(slots), "slot").drop("slot", "depth")
     link = F.filter("chain", lambda x: x["text_sha256"] == F.col("text_sha256"))[0]
     found = placed.join(index.drop("depth"), ["bucket", "key"]).withColumn("link", link)
     return found.select(
@@ -104,4 +112,5 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, depth_limit: int = DE
     stays; rows that repeat that doc_id within the group are all marked as kept; a null doc_id stays only in a group
     of null ids. An empty table gives an empty result, other columns are not read.
     """
-    return look_up(docs, build_index(docs, capacity, depth_limit), depth_limit)
+    asked = digests(docs)
+    return look_up(asked, build_index(docs, capacity, depth_limit, asked=asked), depth_limit)
