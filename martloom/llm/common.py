@@ -22,11 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or tempfile.mkdtemp(prefix="llm-")
 
 
-def stored(frame: DataFrame, name: str, keys: list[str] | None = None) -> DataFrame:
+def stored(frame: DataFrame, name: str, keys: list[str] | None = None, codec: str | None = None) -> DataFrame:
     """``frame`` written to the shared folder and read back: later stages start from files, not from lineage."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = frame.write
+    writer = frame.write.option("compression", codec) if codec else frame.write
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(path)

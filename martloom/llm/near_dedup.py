@@ -3,8 +3,8 @@
 A shingle's weight is its count in the text times the mean inverse document frequency of its words, which are counted
 over all documents in a fixed number of hashed cells. Samples (shingle, level) of two texts agree with the probability
 of their weighted Jaccard similarity. Bands of samples give buckets; in a bucket every text is compared with one
-leader. Texts of a bucket that are still in different classes are compared with each other where both have one of the
-rare shingles that any two similar texts share, unless what a text shares with any other weighs too little for a link.
+leader. Texts of a bucket that are still in different classes are joined on the rare shingles that any two similar
+texts share, class by class, unless what a text shares with any other weighs too little for a link.
 Only the exact weighted Jaccard similarity makes a link; linked texts form classes.
 """
 
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import chunks, mix, shingle_hashes, stored, whole_text, word_table
@@ -151,7 +151,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
 
 
 def shingle_rows(texts: DataFrame, idf) -> DataFrame:
-    """(shingle, digest, weight) of every shingle of every text."""
+    """(shingle, digest, share) of every shingle of every text: its part of the text's weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh = Weigher(idf.value)
@@ -159,38 +159,54 @@ def shingle_rows(texts: DataFrame, idf) -> DataFrame:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             found = [weigh(t) for t in texts]
             rows = np.repeat(np.arange(len(texts)), [len(s) for s, _ in found])
-            shingles, weights = (np.concatenate(c) for c in zip(*found, strict=True))
-            columns = [pa.array(shingles.view(np.int64)), keys.take(pa.array(rows)), pa.array(weights.astype(np.float64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "digest", "weight"])
+            shingles = np.concatenate([s for s, _ in found])
+            shares = np.concatenate([w / max(w.sum(dtype=np.float64), 1e-30) for _, w in found])
+            columns = [pa.array(shingles.view(np.int64)), keys.take(pa.array(rows)), pa.array(shares.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "digest", "share"])
 
-    return texts.select("digest", "text").mapInArrow(run, "shingle long, digest binary, weight double")
-
-
-def own_weights(texts: DataFrame, idf) -> DataFrame:
-    """(digest, own): the weight of the shingles that no other of these texts has; texts without any have no row.
-
-    What a text has in common with another one is at most the rest, which bounds their similarity.
-    """
-    each = shingle_rows(texts, idf)
-    once = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"), F.first("weight").alias("weight"))
-    return once.where("n = 1").groupBy("digest").agg(F.sum("weight").alias("own"))
+    return texts.select("digest", "text").mapInArrow(run, "shingle long, digest binary, share double")
 
 
 def rare_shingles(texts: DataFrame, idf, similarity: float) -> DataFrame:
-    """(shingle, digest, short): the rare shingles of each text; two similar texts of these have one in common.
+    """(shingle, digest, short, common): the rare shingles of each text; two similar texts of these have one in common.
 
     All texts order their shingles alike, by how many texts have them. From the first shingle that two similar texts
     share, both must have enough weight left for all they share, so it is not far down either list. ``short`` marks the
-    shingles that the lighter text of a pair needs; the heavier one needs all that are given.
+    shingles that the lighter text of a pair needs; the heavier one needs all that are given. Shingles of one text are
+    left out before the lists are made; ``common`` is the part of the text's weight that others have, too, which bounds
+    its similarity to any of them: a text below has no row.
     """
     each = shingle_rows(texts, idf)
-    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     last_first = Window.partitionBy("digest").orderBy(F.desc("n"), F.desc("shingle"))  # a window holds one text
-    left = F.sum("weight").over(last_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("weight").over(Window.partitionBy("digest"))
-    ordered = each.join(held, "shingle").select("shingle", "digest", "n", (left / total).alias("left"))
+    left = F.sum("share").over(last_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    common = F.sum("share").over(Window.partitionBy("digest"))
+    ordered = each.join(held, "shingle").select("shingle", "digest", left.alias("left"), common.alias("common"))
     short = (F.col("left") >= 2 * similarity / (1 + similarity) * 0.9999).alias("short")
-    return ordered.where((F.col("n") > 1) & (F.col("left") >= similarity * 0.9999)).select("shingle", "digest", short)
+    return ordered.where(F.col("left") >= similarity * 0.9999).select("shingle", "digest", short, "common")
+
+
+def _near(x: Column, y: Column, similarity: float) -> Column:
+    """Whether two weights are close enough for texts of that similarity."""
+    return F.least(x, y) >= similarity * 0.9999 * F.greatest(x, y)
+
+
+def sharing_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """(x, y): digests of different labels that have a rare shingle in common, the lighter text first.
+
+    ``entries`` has shingle, digest, short, label and weight. Labels meet on a shingle first, so that the texts of one
+    class never meet each other, however many have the shingle.
+    """
+    held = entries.groupBy("shingle", "label").agg(F.max("short").alias("short"))
+    shared = held.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    held = held.join(shared.select("shingle"), "shingle")
+    other = held.select("shingle", F.col("label").alias("label_y"))
+    met = held.where("short").join(other, "shingle").where("label <> label_y").select("shingle", "label", "label_y")
+    x = entries.where("short").select("shingle", "label", F.col("digest").alias("x"), F.col("weight").alias("weight_x"))
+    y = entries.select("shingle", F.col("label").alias("label_y"), F.col("digest").alias("y"), F.col("weight").alias("weight_y"))
+    order = F.struct(F.col("weight_x").alias("w"), F.col("x").alias("d")) < F.struct(F.col("weight_y").alias("w"), F.col("y").alias("d"))
+    close = order & _near(F.col("weight_x"), F.col("weight_y"), similarity)
+    return met.join(x, ["shingle", "label"]).join(y, ["shingle", "label_y"]).where(close).select("x", "y").distinct()
 
 
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -210,12 +226,9 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ranked = stored(ranked, "ranked-buckets")
     leads = ranked.groupBy("bucket").agg(F.max("rank").alias("lead"))
     shared = ranked.join(leads, "bucket").select("bucket", "digest", "weight", "lead")
-    texts = stored(distinct_texts(docs, ranked), "candidate-texts")
-
-    def near(x, y):
-        return F.least(x, y) >= similarity * 0.9999 * F.greatest(x, y)
-
-    stars = shared.where((F.col("digest") != F.col("lead.digest")) & near(F.col("weight"), F.col("lead.weight")))
+    texts = stored(distinct_texts(docs, ranked), "candidate-texts", codec="zstd")
+    close = _near(F.col("weight"), F.col("lead.weight"), similarity)
+    stars = shared.where((F.col("digest") != F.col("lead.digest")) & close)
     pairs = stars.select(F.col("lead.digest").alias("a"), F.col("digest").alias("b")).distinct().withColumn("extra", F.lit(0))
 
     def measure():
@@ -235,28 +248,23 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     label = F.coalesce("label", "digest").alias("label")
     placed = shared.select("bucket", "digest").join(settled, "digest", "left").select("bucket", "digest", label)
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    # Texts of one bucket in different classes; each class of a bucket is compared with the others, leaders again not.
+    # Texts of one bucket in different classes: those that share a rare shingle and a bucket are compared, leaders not again.
     mixed_rows = placed.join(mixed.select("bucket"), "bucket").join(signed.select("digest", "weight", "samples"), "digest")
-    open_ = stored(mixed_rows, "open-buckets")
-    lone = own_weights(texts.join(open_.select("digest").distinct(), "digest", "left_semi"), idf)
-    common = F.col("weight") - F.coalesce("own", F.lit(0.0))
-    reach = open_.join(lone, "digest", "left").withColumn("common", common).where(common >= similarity * 0.9999 * F.col("weight"))
-    alone = reach.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("label", "weight", "samples", "common")), F.collect_set("bucket").alias("buckets"))
+    alone = mixed_rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("label", "weight", "samples")), F.collect_set("bucket").alias("buckets"))
     alone = stored(alone, "open-texts")
     rare = rare_shingles(texts.join(alone.select("digest"), "digest", "left_semi"), idf, similarity)
-    lists = rare.groupBy("digest").agg(F.collect_list("shingle").alias("rare"), F.collect_list(F.when(F.col("short"), F.col("shingle"))).alias("short"))
-    listed = stored(alone.join(lists, "digest").withColumn("bucket", F.explode("buckets")), "rare-shingles")
-    x, y = listed.alias("x"), listed.alias("y")
-    agree = F.size(F.filter(F.zip_with("x.samples", "y.samples", lambda p, q: p == q), lambda s: s))
-    needed = similarity * 0.9999 / (1 + similarity) * (F.col("x.weight") + F.col("y.weight"))
-    close = (F.struct("x.weight", "x.digest") < F.struct("y.weight", "y.digest")) & (F.col("x.label") != F.col("y.label"))
-    close = close & near(F.col("x.weight"), F.col("y.weight")) & (F.least("x.common", "y.common") >= needed)
-    once = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")  # a pair meets in one bucket
-    close = close & (agree >= CLOSE_SAMPLES) & once & F.arrays_overlap("x.short", "y.rare")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close).select(
-        F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")
-    )
-    rest = across.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    entries = stored(rare.join(alone.select("digest", "label", "weight"), "digest"), "rare-shingles")
+    commons = entries.groupBy("digest").agg(F.max("common").alias("common"))
+    facts = alone.join(commons, "digest").select("digest", "weight", "samples", "buckets", (F.col("common") * F.col("weight")).alias("common"))
+    both = sharing_pairs(entries, similarity)
+    for side in ("x", "y"):
+        both = both.join(facts.select(F.col("digest").alias(side), F.struct("weight", "samples", "buckets", "common").alias(f"of_{side}")), side)
+    agree = F.size(F.filter(F.zip_with("of_x.samples", "of_y.samples", lambda p, q: p == q), lambda s: s))
+    needed = similarity * 0.9999 / (1 + similarity) * (F.col("of_x.weight") + F.col("of_y.weight"))
+    likely = (F.least("of_x.common", "of_y.common") >= needed) & (agree >= CLOSE_SAMPLES) & F.arrays_overlap("of_x.buckets", "of_y.buckets")
+    across = both.where(likely).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    met_leaders = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = across.join(met_leaders, ["a", "b"], "left_anti")
     second = stored(compare(rest.withColumn("extra", F.lit(0)), texts, measure, "similarity double"), "cross-links")
     return first.unionByName(second)
 

@@ -361,20 +361,55 @@ def test_near_duplicates_against_all_pairs(spark, docs, edges, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
-def test_own_weights_bound_what_texts_share(spark):
+def test_near_duplicates_against_all_pairs_by_weight(spark):
+    """Edited copies around the threshold, by the operator's own measure: enough links, and none below 0.8."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for k in range(30):
+        base = [f"w{rng.integers(400)}" for _ in range(150)]
+        texts += [" ".join(w if rng.random() > 0.007 * i else f"x{rng.integers(90)}" for w in base) for i in range(8)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame).collect()}
+    weigh = near_dedup.Weigher(near_dedup.inverse_frequencies(frame))
+    weighed = [weigh(t) for t in texts]
+    linked, near, found = {i: i for i in got}, 0, 0
+
+    def root(i):
+        while linked[i] != i:
+            i = linked[i]
+        return i
+
+    for i, x in enumerate(weighed):
+        for j, y in enumerate(weighed[:i]):
+            if near_dedup.weighted_jaccard(x, y) >= 0.8:
+                near += 1
+                found += got[i] == got[j]
+                linked[root(i)] = root(j)
+    assert near > 100 and found >= 0.97 * near
+    assert all(root(i) == root(c) for i, c in got.items())
+
+
+def test_common_weight_bounds_what_texts_share(spark):
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(60)]
-    texts = [" ".join(w if rng.random() > 0.02 * i else f"x{i}y{j}" for j, w in enumerate(base)) for i in range(6)] + ["apart", "one two"]
+    texts = [" ".join(w if rng.random() > 0.005 * i else f"x{i}y{j}" for j, w in enumerate(base)) for i in range(6)] + ["apart", "one two"]
     idf = spark.sparkContext.broadcast(np.ones(near_dedup.CELLS, np.float32))
     frame = spark.createDataFrame([(str(i).encode(), t) for i, t in enumerate(texts)], "digest binary, text string")
-    own = {int(bytes(r.digest)): r.own for r in near_dedup.own_weights(frame, idf).collect()}
+    common = {int(bytes(r.digest)): r.common for r in near_dedup.rare_shingles(frame, idf, 0.5).collect()}
     weighed = [dict(zip(*near_dedup.Weigher(idf.value)(t), strict=True)) for t in texts]
     for i, mine in enumerate(weighed):
-        others = {k for j, w in enumerate(weighed) if j != i for k in w}
-        assert own.get(i, 0) == pytest.approx(sum(v for k, v in mine.items() if k not in others))
-        for j, w in enumerate(weighed):
-            shared = sum(min(v, w[k]) for k, v in mine.items() if k in w)
-            assert i == j or shared <= sum(mine.values()) - own.get(i, 0) + 1e-4
+        held = sum(v for k, v in mine.items() if any(k in w for j, w in enumerate(weighed) if j != i)) / sum(mine.values())
+        assert common.get(i, 0) == pytest.approx(held) if held >= 0.5 else i not in common
+    assert len(common) > 3
+
+
+def test_labels_meet_on_shingles_before_their_texts_do(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(s), str(d).encode(), bool(rng.random() < 0.6), str(d % 4).encode(), 100.0 + d) for d in range(24) for s in rng.choice(30, 5, replace=False)]
+    entries = spark.createDataFrame(rows, "shingle long, digest binary, short boolean, label binary, weight double")
+    got = sorted((bytes(r.x), bytes(r.y)) for r in near_dedup.sharing_pairs(entries, 0.8).collect())
+    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[2] and a[3] != b[3] and a[4] < b[4] and a[4] >= 0.8 * 0.9999 * b[4]}
+    assert got == sorted(want) and len(want) > 20
 
 
 def test_similar_texts_share_a_rare_shingle(spark):
