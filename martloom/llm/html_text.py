@@ -2,8 +2,8 @@
 
 Text nodes are grouped by the path of tags from the root. Each path has a ratio of text and of punctuation per node;
 ratios are smoothed over neighbouring nodes in page order, fused, and compared with the page's own mean. The element
-whose nodes exceed that threshold by most text is the article; parts marked as boilerplate by their tag or class are
-left out beforehand.
+whose nodes exceed that threshold by most text is the article, with the articles beside it. Parts that their tag or
+name calls boilerplate are left out beforehand; where a name only hints at it, the score of the path decides.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ TOKEN = re.compile(
 MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object canvas annotation".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr math mrow mi mo mn mtext msup msub mfrac msqrt semantics".split()
 )
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -37,12 +37,18 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("ul ol dl table select article section main div nav aside header footer form body html".split())
 #: Parts of a page that are never its article.
-BOILERPLATE_TAGS = frozenset("head nav footer aside form menu button select dialog".split())
-BOILERPLATE_WORDS = frozenset(
-    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer gdpr header menu modal nav navbar navigation newsletter notice outbrain pagination popup promo promoted "
-    "recommended related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
-    "taboola tags teaser toolbar widget complementary contentinfo search".split()
+BOILERPLATE_TAGS = frozenset("head nav footer aside menu button select dialog".split())
+COMMENT_WORDS = frozenset("comment comments discussion disqus replies reply respond review reviews".split())
+BOILERPLATE_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs consent cookie cookies footer gdpr header menu "
+    "modal nav navbar navigation newsletter notice outbrain pagination popup promo promoted recommended related share "
+    "sharing sidebar signup skip social sponsor sponsored subscribe taboola tags teaser toolbar widget complementary "
+    "contentinfo search".split()
+)
+#: Words at the end of a name that do not say what the element is.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box col column container content group holder inner item items left list main outer "
+    "panel primary right row secondary section slot thread top unit wrap wrapper zone".split()
 )
 #: What follows these words in a name is not what the element is.
 MODIFIERS = frozenset("has with without no".split())
@@ -52,33 +58,56 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An element: its place in the tree, its tag with marks, and whether its tag or its names are those of boilerplate."""
+    """An element: its place in the tree, its path by number, and what its tag and names say of it.
+
+    ``named``: 3 boilerplate by name, 2 by a compound name or a form, which does not count around most of the page,
+    1 a name that hints at boilerplate, which only lowers the score.
+    """
 
-    __slots__ = ("parent", "tag", "path", "dropped", "named", "article", "link", "value", "size")
+    __slots__ = ("parent", "tag", "path", "depth", "dropped", "named", "article", "link", "hint", "inside", "value", "size")
 
-    def __init__(self, parent: Node | None, tag: str, marks: list[str]):
-        self.parent, self.tag, self.value = parent, tag, 0.0
-        self.path = (parent.path if parent else "") + "/" + ".".join([tag, *marks])
+    def __init__(self, parent: Node | None, tag: str, marks: list[str], paths: dict[tuple, int]):
+        self.parent, self.tag, self.value, self.size = parent, tag, 0.0, 0
+        self.path = paths.setdefault((parent.path if parent else -1, tag, *marks), len(paths))
+        self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or bool(parent and parent.link)
-        self.article = tag in ARTICLES or bool(parent and parent.article)
-        own = tag in BOILERPLATE_TAGS or tag == "header" and not (parent and parent.article)
-        self.dropped, self.size = own or bool(parent and parent.dropped), 0
-        self.named = 0 if tag in ("html", "body", *ARTICLES) else max(map(boilerplate_name, marks), default=0)
+        within = bool(parent and parent.article)
+        self.article = tag in ARTICLES or within
+        self.dropped = tag in BOILERPLATE_TAGS or tag == "header" and not within or bool(parent and parent.dropped)
+        self.named = 0 if tag in ("html", "body", *ARTICLES) else max((boilerplate_name(m, within) for m in marks), default=0)
+        if tag == "form":
+            self.named = max(self.named, 2)
+        self.hint = self.named == 1 or bool(parent and parent.hint)
+        self.inside = False
 
 
-def boilerplate_name(name: str) -> int:
-    """2 if a class or id is a boilerplate word, 1 if it is compound with one; ``has-sidebar`` tells of a sidebar elsewhere."""
+def boilerplate_name(name: str, within: bool = False) -> int:
+    """What a class or id says, 0 to 3 as in ``Node.named``. A compound is what its last word says, neutral words
+    aside: ``user-reviews`` are reviews, ``related-work`` only hints, ``has-sidebar`` tells of a sidebar elsewhere. A
+    header ``within`` an article is its own.
+    """
     words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    if not words or within and "header" in words:
+        return 0
     if len(words) == 1:
-        return 2 * (words[0] in BOILERPLATE_WORDS)
+        return 3 * (words[0] in BOILERPLATE_WORDS)
     about = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
-    return int(not BOILERPLATE_WORDS.isdisjoint(words[:about]))
+    words = words[:about]
+    if BOILERPLATE_WORDS.isdisjoint(words):
+        return 0
+    while words[-1] in NEUTRAL_WORDS or len(words[-1]) == 1:
+        words.pop()
+    if words[-1] in COMMENT_WORDS:
+        return 3
+    return 2 if words[-1] in BOILERPLATE_WORDS else 1
 
 
-def text_nodes(page: str) -> list[tuple[Node, int, str]]:
-    """(element, block, decoded text) in page order; texts of one block belong to one line."""
-    root = Node(None, "", [])
-    top, block, at, found = root, 0, 0, []
+def text_nodes(page: str) -> tuple[list[tuple[Node, int, str]], list[Node]]:
+    """(element, block, decoded text) in page order, where texts of one block belong to one line, and all elements,
+    each after its parent."""
+    paths: dict[tuple, int] = {}
+    root = Node(None, "", [], paths)
+    top, block, at, found, tree = root, 0, 0, [], [root]
 
     def text(raw: str) -> None:
         if raw.strip():
@@ -128,8 +157,9 @@ def text_nodes(page: str) -> list[tuple[Node, int, str]]:
                     top = node.parent
                 node = node.parent
         marks = [x for g in MARK.findall(m["attrs"]) for x in " ".join(g).split()] if m["attrs"] else []
-        top = Node(top, tag, marks)
-    return found
+        top = Node(top, tag, marks, paths)
+        tree.append(top)
+    return found, tree
 
 
 def path_scores(nodes: list[tuple[Node, int, str]], radius: int = 2) -> tuple[np.ndarray, float]:
@@ -138,11 +168,11 @@ def path_scores(nodes: list[tuple[Node, int, str]], radius: int = 2) -> tuple[np
     of = np.array([paths.setdefault(n.path, len(paths)) for n, _, _ in nodes])
     size = np.array([len(t.strip()) for _, _, t in nodes], float)
     points = np.array([len(PUNCTUATION.findall(t)) for _, _, t in nodes], float)
-    linked = np.array([n.link for n, _, _ in nodes])
+    doubt = np.array([(0.3 if n.link else 1.0) * (0.6 if n.hint else 1.0) for n, _, _ in nodes])
     count = np.bincount(of)
     text_ratio, point_ratio = np.bincount(of, size) / count, np.bincount(of, points) / count
     fused = text_ratio / (text_ratio + 40) * (1 + np.log1p(point_ratio))
-    per_node = fused[of] * np.where(linked, 0.3, 1.0)
+    per_node = fused[of] * doubt
     kernel = np.exp(-0.5 * np.arange(-radius, radius + 1) ** 2)
     padded = np.pad(per_node, radius, mode="edge")
     smooth = np.convolve(padded, kernel / kernel.sum(), mode="valid")
@@ -151,57 +181,57 @@ def path_scores(nodes: list[tuple[Node, int, str]], radius: int = 2) -> tuple[np
     return score, 0.5 * float((score * size).sum() / max(size.sum(), 1))
 
 
-def outside_boilerplate(nodes: list[tuple[Node, int, str]]) -> list[tuple[Node, int, str]]:
+def outside_boilerplate(nodes: list[tuple[Node, int, str]], tree: list[Node]) -> list[tuple[Node, int, str]]:
     """The nodes in no element that is boilerplate by tag or name.
 
-    A compound name does not count for an element that holds most of the page's text, nor a plain one where nothing
-    else would be left.
+    A compound name or a form does not count around most of the page's text, nor a plain name where nothing else would
+    be left.
     """
     nodes = [x for x in nodes if not x[0].dropped]
-    total = 0
     for node, _, t in nodes:
-        size, up = len(t.strip()), node
-        total += size
-        while up:
-            up.size += size
-            up = up.parent
-
-    def kept(wrappers: bool) -> list[tuple[Node, int, str]]:
-        out = []
-        for x in nodes:
-            up = x[0]
-            while up and not (up.named and not (2 * up.size > total and (wrappers or up.named == 1))):
-                up = up.parent
-            if not up:
-                out.append(x)
-        return out
-
-    found = kept(False)
-    return found if any(t.strip() for _, _, t in found) else kept(True)
+        node.size += len(t.strip())
+    for node in reversed(tree):
+        if node.parent:
+            node.parent.size += node.size
+    total = tree[0].size
+    for wrappers in (False, True):
+        out: set[int] = set()
+        for node in tree:
+            most = 2 * node.size > total and (wrappers or node.named == 2)
+            if id(node.parent) in out or node.named > 1 and not most:
+                out.add(id(node))
+        found = [x for x in nodes if id(x[0]) not in out]
+        if any(t.strip() for _, _, t in found):
+            break
+    return found
 
 
 def main_text(page: str) -> str:
     """The article's text, one block to a line; empty if there is none."""
-    nodes = outside_boilerplate(text_nodes(page))
+    nodes, tree = text_nodes(page)
+    nodes = outside_boilerplate(nodes, tree)
     if not any(t.strip() for _, _, t in nodes):
         return ""
     score, threshold = path_scores(nodes)
-    seen: dict[int, Node] = {}
+    around: set[int] = set()
     for (node, _, t), s in zip(nodes, score, strict=True):
-        gain, up = len(t.strip()) * (s - threshold), node
-        while up:
-            up.value += gain
-            seen[id(up)] = up
-            up = up.parent
-    options = [n for n in seen.values() if n.tag in ARTICLES and n.value > 0] or list(seen.values())
-    best = max(options, key=lambda n: (n.value, n.path.count("/")))
+        node.value += len(t.strip()) * (s - threshold)
+        around.add(id(node))
+    for node in reversed(tree):
+        if node.parent and id(node) in around:
+            node.parent.value += node.value
+            around.add(id(node.parent))
+    held = [n for n in tree if id(n) in around]
+    options = [n for n in held if n.tag in ARTICLES and n.value > 0] or held
+    best = max(options, key=lambda n: (n.value, n.depth))
+    for node in tree:
+        beside = best.tag == "article" == node.tag and node.parent is best.parent and node.value > 0
+        node.inside = node is best or beside or bool(node.parent and node.parent.inside)
     prose = {block for node, block, t in nodes if not node.link and any(map(str.isalnum, t))}  # blocks with text outside links
     lines: dict[int, list[str]] = {}
     for (node, block, t), s in zip(nodes, score, strict=True):
-        up = node
-        while up and up is not best:
-            up = up.parent
-        if up and (block in prose or not (s < 0.25 * threshold and node.link)):
+        above = s >= threshold if node.hint else block in prose or not (s < 0.25 * threshold and node.link)
+        if node.inside and above:
             lines.setdefault(block, []).append(t)
     cleaned = (SPACE.sub(" ", "".join(parts)).strip() for parts in lines.values())
     return "\n".join(x for x in cleaned if x)
@@ -212,7 +242,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     A null html is empty and gives an empty text, as does a page without article text. A page of plain text is its
     own article. Broken markup is read as far as it goes: open elements end with the page, a cut tag at the end is
-    left out. Repeated rows and null ids or urls are kept as they are; other columns are not read.
+    left out. Repeated rows and null ids or urls are kept as they are, very long or deep pages are read whole, other
+    columns, of whatever names, are not read, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

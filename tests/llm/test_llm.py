@@ -300,6 +300,40 @@ def test_short_links_and_wrappers_stay_in_the_article():
     assert html_text.main_text(page.replace("</article>", "<div class='comments'><p>Nice one, thanks!</p></div></article>")) == html_text.main_text(page)
 
 
+def test_names_and_forms_around_prose():
+    """What names say: reader comments go under any name, prose under a name that only hints at boilerplate stays."""
+    words = "The city council met again on Monday, and the members talked about roads, schools and water for hours. "
+    prose = f"<h1>Head line</h1>{f'<p>{words * 3}</p>' * 4}"
+    page = lambda body: html_text.main_text(f"<html><body>{body}</body></html>")
+    want = page(f"<article>{prose}</article>")
+    assert want.startswith("Head line\nThe city") and want.count("council") == 12
+    assert page(f"<form id=all action=/><nav>Home</nav><article>{prose}</article></form>") == want
+    assert page(f"<form id=all><div class=menu>Home, shop.</div><div class=content>{prose}</div><input name=q></form>") == want
+    headed = prose.replace("<h1>Head line</h1>", "<div class='article-header'><h1>Head line</h1></div>")
+    assert page(f"<article>{headed}</article>") == want
+    assert page(f"<article>{prose}<section class='related-work'><p>{words * 3}</p></section></article>").count("council") == 15
+    assert page(f"<article>{prose}<p id='notice-period'>{words * 2}</p></article>").count("council") == 14
+    assert page(f"<article>{prose}<div class='related-links'><p>See, too.</p></div></article>") == want
+    for name in ("user-reviews", "discussion", "comment-list", "commentsSection", "replies"):
+        assert page(f"<article>{prose}<div class='{name}'><p>Nice one, {words}</p></div></article>") == want
+        assert page(f"<div class=content>{prose}<div id='{name}'><p>Nice one, {words}</p></div></div>") == want
+    assert page(f"<article>{prose}</article><article><h2>Second</h2><p>{words * 9}</p></article>").startswith(want + "\nSecond\nThe city")
+    assert page(f"<article>{prose}<p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == want + "\nHere x=2 holds."
+
+
+def test_deep_long_and_missing_pages(spark):
+    deep = "<div>" * 6000 + "<p>hello there, you.</p>" * 6000
+    assert html_text.main_text(deep).count("hello there, you.") == 6000
+    long = "<article>" + "<p>One sentence, and another one.</p>" * 40_000 + "</article>"
+    schema = "page_id long, url string, html string, text string, n_chars int, block int"
+    rows = [(1, "u", long, "x", 0, 0), (1, "u", long, "x", 0, 0), (None, None, "<p>Short, but here.", None, None, None)]
+    got = plain(html_text.extract_pages(spark.createDataFrame(rows, schema)), "page_id", "n_chars")
+    size = 40_000 * len("One sentence, and another one.") + 39_999
+    assert sorted(got, key=str) == [(1, size), (1, size), (None, 16)]
+    assert html_text.extract_pages(spark.createDataFrame([], schema)).columns == ["page_id", "url", "text", "n_chars"]
+    assert html_text.extract_pages(spark.createDataFrame([], schema)).count() == 0
+
+
 # benchmark -------------------------------------------------------------------------------------------------------------
 
 
