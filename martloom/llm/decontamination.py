@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from martloom.llm.common import chunks, whole_text
+from martloom.llm.common import chunks, mix, whole_text
 
 RATE = 0.1
 WALKS = 8
@@ -25,6 +26,8 @@ SAMPLES = 32
 POSITIONS = 4
 BLOCK_CHARS = 4_000_000
 ALPHABET = 256
+COIN_ROWS = 4096
+BLOCK_CELLS = 2_000_000  # symbols that are walked side by side
 
 
 def normal(text: str) -> str:
@@ -37,14 +40,31 @@ def edits_allowed(size: int, rate: float) -> int:
 
 
 class Embedding:
-    """The random walks and the sampled positions, the same in every task."""
+    """The random walks and the sampled positions, the same in every task.
 
-    def __init__(self, longest: int, seed: int = 17):
+    The coins of a step are a row of a fixed table, chosen by a hash of walk and step, so memory does not grow with the
+    longest item.
+    """
+
+    def __init__(self, seed: int = 17):
         dice = np.random.default_rng(seed)
-        self.steps = dice.integers(0, 2, (WALKS, 3 * longest, ALPHABET), dtype=np.uint8)
+        self.coins = dice.integers(0, 2, (COIN_ROWS, ALPHABET), dtype=np.uint8)
         self.picks = dice.random((WALKS, SAMPLES, POSITIONS))
         self.mixers = dice.integers(1, 1 << 62, (POSITIONS,), dtype=np.uint64) | np.uint64(1)
 
+    def keys_of(self, texts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+        """``keys`` of texts of any lengths, in blocks of a bounded number of symbols or one text."""
+        out, order, at = np.empty((len(texts), WALKS * SAMPLES), np.uint64), np.argsort(-sizes, kind="stable"), 0
+        while at < len(order):
+            width = int(sizes[order[at]])
+            part = order[at : at + max(1, BLOCK_CELLS // width)]
+            block = np.zeros((len(part), width), np.uint8)
+            for i, n in enumerate(part):
+                block[i, : len(texts[n])] = texts[n]
+            out[part] = self.keys(block, sizes[part])
+            at += len(part)
+        return out
+
     def keys(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Hashes of the sampled symbols, (windows, walks * samples); row i of ``codes`` has ``sizes[i]`` characters.
 
@@ -59,12 +79,13 @@ class Embedding:
         out = np.empty((n, WALKS * SAMPLES), np.uint64)
         for walk in range(WALKS):
             at, written = first.copy(), np.zeros((2 * int(sizes[0]), n), np.uint8)
+            rows = mix(np.arange(2 * int(sizes[0]), dtype=np.uint64), walk) & np.uint64(COIN_ROWS - 1)
             for j in range(2 * int(sizes[0])):
                 m = active[j]
                 here = at[:m]
                 symbol = np.where(here < last[:m], flat[here], 0)
                 written[j, :m] = symbol
-                np.minimum(here + self.steps[walk, j, symbol], last[:m], out=at[:m])
+                np.minimum(here + self.coins[rows[j], symbol], last[:m], out=at[:m])
             places = (self.picks[walk][:, :, None] * (2 * sizes)).astype(np.int64)
             with np.errstate(over="ignore"):
                 for s in range(SAMPLES):
@@ -113,7 +134,7 @@ class Finder:
         import ahocorasick
 
         self.items = [(i, t, edits_allowed(len(t), rate)) for i, t in items]
-        self.embedding = Embedding(max(len(t) for _, t in items))
+        self.embedding = Embedding()
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, k) in enumerate(self.items):
             size = max(1, len(text) // (k + 2))
@@ -124,10 +145,7 @@ class Finder:
             self.pieces.add_word(piece, (len(piece), places))
         self.pieces.make_automaton()
         self.sizes = np.array([len(t) for _, t, _ in self.items])
-        block = np.zeros((len(self.items), int(self.sizes.max())), np.uint8)
-        for n, (_, text, _) in enumerate(self.items):
-            block[n, : len(text)] = codes_of(text)
-        self.keys = self.embedding.keys(block, self.sizes)
+        self.keys = self.embedding.keys_of([codes_of(t) for _, t, _ in self.items], self.sizes)
 
     def windows(self, text: str) -> dict[int, set[int]]:
         """Starts of windows to embed, by item."""
@@ -156,13 +174,12 @@ class Finder:
         for first in range(0, len(rows), 20_000):
             part = rows[first : first + 20_000]
             items = np.array([n for _, n, _ in part])
-            block = np.zeros((len(part), int(self.sizes[items].max())), np.uint8)
-            for i, (d, n, s) in enumerate(part):
+            windows = []
+            for d, n, s in part:
                 if d not in codes:
                     codes[d] = codes_of(texts[d])
-                own = codes[d][s : s + int(self.sizes[n])]
-                block[i, : len(own)] = own
-            met = (self.embedding.keys(block, self.sizes[items]) == self.keys[items]).any(axis=1)
+                windows.append(codes[d][s : s + int(self.sizes[n])])
+            met = (self.embedding.keys_of(windows, self.sizes[items]) == self.keys[items]).any(axis=1)
             for i in np.nonzero(met)[0]:
                 d, n, s = part[i]
                 near.setdefault((d, n), set()).add(s)
@@ -203,13 +220,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
 
     An item of n characters may have ``rate`` * n edits, case and white space aside; ``end_char`` counts characters of
     the text so normalised. Documents are scanned once for each block of items. Null and empty texts, and items that
-    are null or blank, have no match; repeated rows give a row each; null ids stay null; no item gives no row.
+    are null or blank, have no match; repeated rows give a row each; null ids stay null; no item gives no row. Ids keep
+    their types, texts and items of any length are compared whole, other columns are not read.
     """
     spark = docs.sparkSession
     kinds = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance long, end_char long"
     texts, found = docs.select("doc_id", whole_text().alias("text")), None
-    id_type = pa.int64() if kinds[1] in ("bigint", "int") else pa.string()
+    id_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     for block in item_blocks(benchmark, block_chars):
         items = spark.sparkContext.broadcast(block)  # at most block_chars and one item
 

@@ -357,6 +357,38 @@ def test_leaks_with_and_without_edits(spark, edges):
     assert decontamination.clean_documents(edges, bench).columns == edges.columns
 
 
+def test_recall_at_the_edit_limit(spark):
+    """Items with exactly the allowed number of inserted, deleted and replaced characters."""
+    dice = np.random.default_rng(21)
+    letters = list("abcdefghijklmnop ")
+    text = lambda n: "".join(dice.choice(letters, n)).strip()
+    rows, items = [], []
+    for i in range(240):
+        item = decontamination.normal(text(int(dice.integers(60, 200))))
+        edited = list(item)
+        for p in sorted(dice.choice(len(item), decontamination.edits_allowed(len(item), 0.1), replace=False), reverse=True):
+            kind = dice.integers(3)
+            edited[p : p + (kind != 0)] = [] if kind == 1 else ["z"]
+        items.append((i, item))
+        rows.append((i, f"{text(200)} {''.join(edited)} {text(150)}"))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id int, text string"))
+    assert dict(got.dtypes)["item_id"] == "int" and dict(got.dtypes)["doc_id"] == "int"
+    pairs = {(r.doc_id, r.item_id) for r in got.collect()}
+    assert len(pairs) >= 0.95 * len(items) and all(d == n for d, n in pairs)
+
+
+def test_long_items_beside_short_ones(spark):
+    dice = np.random.default_rng(22)
+    long = decontamination.normal("".join(dice.choice(list("abcdefghij "), 30_000)))
+    items = [("long", long), ("short", "one two three four five six"), (None, "seven eight nine ten eleven")]
+    bench = spark.createDataFrame([(*x, 1) for x in items], "item_id string, text string, doc_id int")
+    rows = [("a", f"before {long[:9000]}Z{long[9001:]} after"), ("b", "x one two three four five six y"), (None, "seven eight nine ten eleven")]
+    docs = spark.createDataFrame([(*r, "?", 1) for r in rows], "doc_id string, text string, item_id string, distance int")
+    got = plain(decontamination.find_leaks(docs, bench), "doc_id", "item_id", "distance")
+    assert sorted(got, key=str) == sorted([("a", "long", 1), ("b", "short", 0), (None, None, 0)], key=str)
+
+
 def test_closest_is_the_edit_distance():
     def slow(item, text):
         row = [0] * (len(text) + 1)
