@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,18 @@ from martloom.functions.geo import (
     unit_vector,
     vector_cell,
 )
+from martloom.operators.lineage import cut_lineage
 from martloom.operators.ranking import first_per_key
 
 # Rows of a (group, cell) that one task meets on either side of the pair join.
 PAIR_BLOCK_ROWS = 20_000
 
+# Keys of a cell that meet as many others in one task, where a cell meets as a whole.
+CELL_BLOCK_ROWS = 4_000
+
+# The largest groups have a bit each in a key's mask.
+MASK_BITS = 63
+
 # Places of a cell that one task compares a coordinate pair with.
 PLACE_BLOCK_ROWS = 20_000
 
@@ -157,3 +166,93 @@ def pairs_within_radius(
         .select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"), "distance")
         .distinct()
     )
+
+
+def pairs_sharing_groups(
+    points: DataFrame,
+    members: DataFrame,
+    key: str,
+    group: str,
+    radius_km: float,
+    *,
+    carry: Sequence[str] = (),
+    without: DataFrame | None = None,
+    block_rows: int = CELL_BLOCK_ROWS,
+) -> DataFrame:
+    """Pairs ``(left, right)`` with ``left < right`` that lie within the radius and have a group in common.
+
+    ``points``: ``key``, ``lat``, ``lon`` and the columns ``carry``, one row per key; ``members``: ``group``, ``key``.
+    The result carries the columns of the left key. ``without`` are pairs (``left``, ``right``, in either order) to leave out.
+
+    Two keys with many common groups would meet once in each. So a grid cell meets as a whole or group by group,
+    whichever makes fewer candidates. As a whole a pair meets once and needs no distinct, and nothing but the keys is
+    shuffled: a key brings its groups along (a bit for each of the largest, the others in a list) and the near keys it
+    is not to be paired with.
+    """
+    joined = members.select(F.col(group).alias("_group"), F.col(key).alias("_key")).dropna().distinct()
+    sizes = joined.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.orderBy(F.desc("_n"), "_group").limit(MASK_BITS).agg(F.collect_list("_group").alias("_largest"))
+    ranks = largest.select(F.posexplode("_largest").alias("_rank", "_group"))
+    sets = (
+        joined.join(ranks, "_group", "left")
+        .groupBy("_key")
+        .agg(
+            F.coalesce(F.sum(F.expr("shiftleft(1L, _rank)")), F.lit(0)).alias("_mask"),
+            F.collect_list(F.when(F.col("_rank").isNull(), F.col("_group"))).alias("_rest"),
+            F.collect_list("_group").alias("_groups"),
+        )
+    )
+    located = points.where("lat is not null and lon is not null").select(F.col(key).alias("_key"), "lat", "lon", *carry)
+    placed = located.join(sets, "_key").withColumn("_cell", earth_cell("lat", "lon", radius_km))
+    placed = cut_lineage(placed.withColumn("_here", unit_vector("lat", "lon")))
+    # A straight line is not longer than the arc: a cheap test before the distance itself.
+    limit = F.lit((radius_km / EARTH_RADIUS_KM) ** 2 * (1 + 1e-6))
+    if without is None:
+        placed = placed.withColumn("_not", F.lit(None).cast("array<string>"))
+    else:
+        spots = placed.select("_key", "_here")
+        apart = without.select(F.col("left").alias("_key"), F.col("right").alias("_other"))
+        apart = apart.union(apart.select("_other", "_key")).distinct().join(spots, "_key")
+        apart = apart.join(spots.select(F.col("_key").alias("_other"), F.col("_here").alias("_there")), "_other")
+        apart = apart.where(chord_squared(F.col("_here"), F.col("_there")) <= limit)
+        placed = placed.join(apart.groupBy("_key").agg(F.collect_list("_other").alias("_not")), "_key", "left")
+
+    def crowds(on: list[str], rows: DataFrame) -> DataFrame:
+        """Keys at home in a cell, and those that visit it from there and from the cells before it."""
+        home = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        visits = home.withColumn("_cell", F.explode(touching_cells("_cell", half=True))).withColumnRenamed("_n", "_v")
+        met = visits.groupBy(*on).agg(F.sum("_v").alias("_v"))
+        return home.join(met, on).withColumn("_cost", F.col("_n").cast("double") * F.col("_v"))
+
+    apart_cells = crowds(["_cell"], placed.select("_cell"))
+    grouped = crowds(["_cell", "_group"], placed.select("_cell", F.explode("_groups").alias("_group")))
+    by_group = grouped.groupBy("_cell").agg(F.sum("_cost").alias("_by_group"))
+    cells = apart_cells.join(by_group, "_cell").withColumn("_whole", F.col("_cost") <= F.col("_by_group"))
+    blocks = F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks")
+    whole = cells.where("_whole").select("_cell", blocks)
+    parted = grouped.join(cells.where(~F.col("_whole")).select("_cell"), "_cell").select("_cell", "_group", blocks)
+
+    def meet(rows: DataFrame, cut: DataFrame, on: list[str]) -> DataFrame:
+        facts = ["_key", "lat", "lon", "_here", "_mask", "_rest", *carry]
+        own = F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+        moved = rows.withColumn("_home", F.col("_cell")).withColumn("_cell", F.explode(touching_cells("_home", half=True)))
+        left = moved.join(cut, on).select(*on, "_home", "_not", own.alias("_l"), other.alias("_r"), *[F.col(c).alias(f"_a_{c}") for c in facts])
+        right = rows.join(cut, on).select(*on, other.alias("_l"), own.alias("_r"), *[F.col(c).alias(f"_b_{c}") for c in facts])
+        pairs = left.join(right.hint("merge"), [*on, "_l", "_r"])  # few rows make many pairs: never from one task
+        a, b = F.col("_a__key"), F.col("_b__key")
+        near = (chord_squared(F.col("_a__here"), F.col("_b__here")) <= limit) & (
+            haversine_km("_a_lat", "_a_lon", "_b_lat", "_b_lon").cast("float") <= radius_km
+        )
+        share = (F.col("_a__mask").bitwiseAND(F.col("_b__mask")) != 0) | F.arrays_overlap("_a__rest", "_b__rest")
+        allowed = F.col("_not").isNull() | ~F.array_contains("_not", b)
+        once = pairs.where(((F.col("_cell") != F.col("_home")) | (a < b)) & near & share & allowed)
+        return once.select(
+            F.least(a, b).alias("left"),
+            F.greatest(a, b).alias("right"),
+            *[F.when(a < b, F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")).alias(c) for c in carry],
+        )
+
+    as_whole = meet(placed, whole, ["_cell"])
+    in_groups = meet(placed.withColumn("_group", F.explode("_groups")), parted, ["_cell", "_group"])
+    return as_whole.unionByName(in_groups.distinct())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martloom.functions.dates import iso_week, iso_year, local_time as to_local_time
 from martloom.functions.text import comma_decimal
 from martloom.operators.runs import consecutive_day_runs
-from martloom.operators.spatial import assign_nearest, pairs_within_radius
+from martloom.operators.spatial import assign_nearest, pairs_sharing_groups
 
 # Fixed value: shortest stay in days that makes a home city.
 HOME_DAYS = 27
@@ -156,25 +156,16 @@ def recommend_pairs(
 
     ``subscriptions``: ``channel``, ``user_id``. ``last_seen``: one row per user with ``lat``,
     ``lon``, ``zone_id`` and ``local_time``. ``messages``: ``sender``, ``receiver``. A message in
-    either direction rules a pair out. Zone and local time are those of the left user.
+    either direction rules a pair out. Zone and local time are those of the left user. The pairs are as many as the
+    rule gives, by nature with the square of the users of one place; none is met twice or shuffled.
     """
-    members = subscriptions.select("channel", "user_id").dropna().distinct()
-    points = members.join(last_seen.select("user_id", "lat", "lon"), "user_id")
-    near = pairs_within_radius(points, "channel", "user_id", radius_km)
-    wrote = (
-        messages.dropna(subset=["sender", "receiver"])
-        .select(F.least("sender", "receiver").alias("left"), F.greatest("sender", "receiver").alias("right"))
-        .distinct()
-    )
-    left_user = last_seen.select(F.col("user_id").alias("left"), "zone_id", "local_time")
-    return (
-        near.join(wrote, ["left", "right"], "left_anti")
-        .join(left_user, "left")
-        .select(
-            F.col("left").alias("user_left"),
-            F.col("right").alias("user_right"),
-            F.lit(processed_at).alias("processed_dttm"),
-            "zone_id",
-            "local_time",
-        )
+    wrote = messages.select(F.col("sender").alias("left"), F.col("receiver").alias("right")).dropna()
+    carry = ["zone_id", "local_time"]
+    near = pairs_sharing_groups(last_seen, subscriptions, "user_id", "channel", radius_km, carry=carry, without=wrote)
+    return near.select(
+        F.col("left").alias("user_left"),
+        F.col("right").alias("user_right"),
+        F.lit(processed_at).alias("processed_dttm"),
+        "zone_id",
+        "local_time",
     )

@@ -7,7 +7,7 @@ import pytest
 
 from conftest import rows
 from martloom.functions.geo import haversine_km
-from martloom.operators.spatial import assign_nearest, pairs_within_radius
+from martloom.operators.spatial import assign_nearest, pairs_sharing_groups, pairs_within_radius
 from pyspark.sql import functions as F
 
 POINTS = "channel int, user_id int, lat double, lon double"
@@ -66,6 +66,24 @@ def test_crowd_at_one_point_gives_every_pair(spark):
     assert got.count() == 60 * 59 // 2
 
 
+@pytest.mark.parametrize("groups_of", [lambda u: range(u % 3, 90 + u % 3), lambda u: [u // 2, -(u % 25)]], ids=["common", "rare"])
+def test_pairs_with_a_common_group_meet_once(spark, groups_of):
+    """More groups than the mask has bits, and groups of few: cells meet as a whole, or group by group."""
+    spots = [(u, lat, lon, f"at {u}") for _, u, lat, lon in scattered(240, 1)]
+    groups = {u: set(groups_of(u)) for u, *_ in spots}
+    members = [(g, u) for u, own in groups.items() for g in own]
+    points = spark.createDataFrame(spots, "user_id int, lat double, lon double, note string")
+    near = {(a[0], b[0]) for a in spots for b in spots if a[0] < b[0] and groups[a[0]] & groups[b[0]] and km(*a[1:3], *b[1:3]) <= 1.0}
+    ruled_out = set(sorted(near)[::3])
+    apart = spark.createDataFrame([(a, b) if a % 2 else (b, a) for a, b in ruled_out], "left int, right int")
+    got = pairs_sharing_groups(
+        points, spark.createDataFrame(members, "channel int, user_id int"), "user_id", "channel", 1.0,
+        carry=["note"], without=apart, block_rows=9,
+    )
+    assert near - ruled_out
+    assert rows(got, "left", "right", "note") == sorted([(a, b, f"at {a}") for a, b in near - ruled_out], key=repr)
+
+
 @pytest.mark.parametrize(("first_km", "block_rows"), [(300.0, 20_000), (0.5, 3), (9_000.0, 4), (50_000.0, 20_000)])
 def test_nearest_equals_brute_force(spark, first_km, block_rows):
     rng = random.Random(5)
