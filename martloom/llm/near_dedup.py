@@ -10,7 +10,7 @@ Only the exact weighted Jaccard similarity makes a link; linked texts form class
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +123,9 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """(digest, weight, bands, samples) of each distinct text with words; ``samples`` keep one byte of each sample."""
+    """(digest, weight, bands, samples) of each distinct text with words; ``samples`` keep one byte of each sample, eight
+    in a number, the last number filled with zeros.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh, sample = Weigher(idf.value), Sampler()
@@ -141,11 +143,11 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 keys.append(key)
                 weights.append(float(w.sum(dtype=np.float64)))
                 bands.append((h ^ mix(np.arange(BANDS, dtype=np.uint64), 7)).view(np.int64))
-                small.append(s.astype(np.uint8).view(np.int8))
-            columns = [pa.array(keys, pa.binary()), pa.array(weights, pa.float64()), pa.array(bands, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int8()))]
+                small.append(np.pad(s.astype(np.uint8), (0, -len(s) % 8)).view(np.int64))
+            columns = [pa.array(keys, pa.binary()), pa.array(weights, pa.float64()), pa.array(bands, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["digest", "weight", "bands", "samples"])
 
-    schema = "digest binary, weight double, bands array<long>, samples array<tinyint>"
+    schema = "digest binary, weight double, bands array<long>, samples array<long>"
     made = docs.select(digest().alias("digest"), whole_text().alias("text")).mapInArrow(run, schema)
     return made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("weight", "bands", "samples")))
 
@@ -191,21 +193,47 @@ def _near(x: Column, y: Column, similarity: float) -> Column:
     return F.least(x, y) >= similarity * 0.9999 * F.greatest(x, y)
 
 
-def sharing_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+def agreeing(x: Column, y: Column) -> Column:
+    """How many of the sample bytes that ``signatures`` packs into numbers are equal."""
+    numbers = -(-BANDS * ROWS // 8)
+    other = F.lit(0)
+    for i in range(numbers):
+        bits = x[i].bitwiseXOR(y[i])
+        for shift in (4, 2, 1):  # the last bit of a byte becomes 1 where any of its bits is
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
+        other = other + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(BANDS * ROWS) - other
+
+
+def likely(x: Column, y: Column, similarity: float) -> Column:
+    """Whether two texts can be so similar: by what they share with any other, their samples, and a common bucket.
+
+    Each side has weight, common, samples and buckets.
+    """
+    needed = similarity * 0.9999 / (1 + similarity) * (x["weight"] + y["weight"])
+    enough = (x["common"] >= needed) & (y["common"] >= needed)
+    return enough & (agreeing(x["samples"], y["samples"]) >= CLOSE_SAMPLES) & F.arrays_overlap(x["buckets"], y["buckets"])
+
+
+def sharing_pairs(entries: DataFrame, similarity: float, only: Callable[[Column, Column, float], Column] | None = None) -> DataFrame:
     """(x, y): digests of different labels that have a rare shingle in common, the lighter text first.
 
     ``entries`` has shingle, digest, short, label and weight. Labels meet on a shingle first, so that the texts of one
-    class never meet each other, however many have the shingle.
+    class never meet each other, however many have the shingle. With ``only`` a pair must also meet that condition on the
+    two texts' column ``facts``, in the join itself: pairs that cannot be links are not written, sorted or counted.
     """
     held = entries.groupBy("shingle", "label").agg(F.max("short").alias("short"))
     shared = held.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     held = held.join(shared.select("shingle"), "shingle")
     other = held.select("shingle", F.col("label").alias("label_y"))
     met = held.where("short").join(other, "shingle").where("label <> label_y").select("shingle", "label", "label_y")
-    x = entries.where("short").select("shingle", "label", F.col("digest").alias("x"), F.col("weight").alias("weight_x"))
-    y = entries.select("shingle", F.col("label").alias("label_y"), F.col("digest").alias("y"), F.col("weight").alias("weight_y"))
+    facts = [] if only is None else ["facts"]
+    x = entries.where("short").select("shingle", "label", F.col("digest").alias("x"), F.col("weight").alias("weight_x"), *[F.col(c).alias("of_x") for c in facts])
+    y = entries.select("shingle", F.col("label").alias("label_y"), F.col("digest").alias("y"), F.col("weight").alias("weight_y"), *[F.col(c).alias("of_y") for c in facts])
     order = F.struct(F.col("weight_x").alias("w"), F.col("x").alias("d")) < F.struct(F.col("weight_y").alias("w"), F.col("y").alias("d"))
     close = order & _near(F.col("weight_x"), F.col("weight_y"), similarity)
+    if only is not None:
+        close = close & only(F.col("of_x"), F.col("of_y"), similarity)
     return met.join(x, ["shingle", "label"]).join(y, ["shingle", "label_y"]).where(close).select("x", "y").distinct()
 
 
@@ -253,16 +281,10 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     alone = mixed_rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("label", "weight", "samples")), F.collect_set("bucket").alias("buckets"))
     alone = stored(alone, "open-texts")
     rare = rare_shingles(texts.join(alone.select("digest"), "digest", "left_semi"), idf, similarity)
-    entries = stored(rare.join(alone.select("digest", "label", "weight"), "digest"), "rare-shingles")
-    commons = entries.groupBy("digest").agg(F.max("common").alias("common"))
-    facts = alone.join(commons, "digest").select("digest", "weight", "samples", "buckets", (F.col("common") * F.col("weight")).alias("common"))
-    both = sharing_pairs(entries, similarity)
-    for side in ("x", "y"):
-        both = both.join(facts.select(F.col("digest").alias(side), F.struct("weight", "samples", "buckets", "common").alias(f"of_{side}")), side)
-    agree = F.size(F.filter(F.zip_with("of_x.samples", "of_y.samples", lambda p, q: p == q), lambda s: s))
-    needed = similarity * 0.9999 / (1 + similarity) * (F.col("of_x.weight") + F.col("of_y.weight"))
-    likely = (F.least("of_x.common", "of_y.common") >= needed) & (agree >= CLOSE_SAMPLES) & F.arrays_overlap("of_x.buckets", "of_y.buckets")
-    across = both.where(likely).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    facts = F.struct("weight", "samples", "buckets", (F.col("common") * F.col("weight")).alias("common")).alias("facts")
+    entries = stored(rare.join(alone, "digest").select("shingle", "digest", "short", "label", "weight", facts), "rare-shingles")
+    both = sharing_pairs(entries, similarity, likely)
+    across = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     met_leaders = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = across.join(met_leaders, ["a", "b"], "left_anti")
     second = stored(compare(rest.withColumn("extra", F.lit(0)), texts, measure, "similarity double"), "cross-links")

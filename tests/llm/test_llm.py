@@ -478,6 +478,21 @@ def test_labels_meet_on_shingles_before_their_texts_do(spark):
     assert got == sorted(want) and len(want) > 20
 
 
+def test_pairs_that_cannot_be_links_leave_the_join(spark):
+    """Packed samples agree as often as their bytes, and a pair of too few is not given."""
+    dice = np.random.default_rng(4)
+    bytes_ = dice.integers(0, 256, (30, near_dedup.BANDS * near_dedup.ROWS), dtype=np.uint8)
+    for i in range(1, 30):  # each text agrees with the first in about 2 i samples
+        bytes_[i, : 2 * i] = bytes_[0, : 2 * i]
+    packed = [np.pad(b, (0, -len(b) % 8)).view(np.int64).tolist() for b in bytes_]
+    rows = [(1, str(100 + i).encode(), True, i, 1.0 + i / 1000, (1.0 + i / 1000, packed[i], [7], 2.0)) for i in range(30)]
+    facts = "struct<weight: double, samples: array<long>, buckets: array<long>, common: double>"
+    entries = spark.createDataFrame(rows, f"shingle long, digest binary, short boolean, label int, weight double, facts {facts}")
+    got = {(int(r.x) - 100, int(r.y) - 100) for r in near_dedup.sharing_pairs(entries, 0.8, near_dedup.likely).collect()}
+    agree = {(i, j): int((bytes_[i] == bytes_[j]).sum()) for i in range(30) for j in range(i + 1, 30)}
+    assert got == {p for p, n in agree.items() if n >= near_dedup.CLOSE_SAMPLES} and 0 < len(got) < len(agree)
+
+
 def test_similar_texts_share_a_rare_shingle(spark):
     rng, base = np.random.default_rng(8), [f"w{i}" for i in range(200)]
     edits = [" ".join(w if rng.random() > 0.004 * (i % 8) else f"x{rng.integers(2)}" for w in base) for i in range(24)]
