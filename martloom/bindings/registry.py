@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import BY_SIZE
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -36,6 +38,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for name, value in BY_SIZE.items():
+            spark.conf.set(name, value)
         self.spark = spark
         self.folder = folder
 

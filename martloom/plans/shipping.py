@@ -78,7 +78,7 @@ def shipping_info(log: DataFrame, rates: DataFrame, agreements: DataFrame, trans
 
     The log holds a row per state. The lookups replace its texts by ids first, so the one
     shuffle, that of the distinct, carries ids only. Rates are part of the country and transfer
-    lookups: a name with two rates does not multiply shipments.
+    lookups: a name with two rates does not multiply shipments; an agreement of several versions is looked up once.
     """
     rows = log.withColumn("agreement_id", packed_field("vendor_agreement_description", 1).cast("long"))
     country = rates.select(
@@ -86,7 +86,7 @@ def shipping_info(log: DataFrame, rates: DataFrame, agreements: DataFrame, trans
         F.col("shipping_country").alias("_country"),
         F.col("shipping_country_base_rate").alias("_country_rate"),
     )
-    agreement = agreements.select(F.col("agreement_id").alias("shipping_agreement_id"))
+    agreement = agreements.select(F.col("agreement_id").alias("shipping_agreement_id")).distinct()
     transfer = transfers.select(
         F.col("id").alias("shipping_transfer_id"),
         F.concat_ws(":", "transfer_type", "transfer_model").alias("_transfer"),

@@ -7,6 +7,7 @@ from dataclasses import replace
 from decimal import Decimal
 
 from conftest import rows
+from martloom.bindings.registry import Tables
 from martloom.functions.keys import md5_key
 from martloom.operators import quality
 from martloom.plans import courier, currency, geo, groups, rfm, sales, shipping
@@ -386,3 +387,10 @@ def test_calendar_weeks(spark):
     cal = calendar(spark, dt.date(2020, 12, 31), dt.date(2021, 1, 4))
     assert rows(cal, "date_id", "week_of_year", "week_of_year_iso")[0] == (20201231, 53, "2020-W53")
     assert rows(cal.where(F.col("date_id") == 20210104), "week_of_year_iso") == [("2021-W01",)]
+
+
+def test_shuffle_partitions_follow_the_size_of_the_rows(spark):
+    """As many partitions as cores would make a task's memory grow with the tables."""
+    Tables(spark, "/nowhere")
+    few, many = (spark.range(n).select(F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("v")).groupBy("k").agg(F.max("v")) for n in (1_000, 5_000_000))
+    assert few.rdd.getNumPartitions() <= 4 < many.rdd.getNumPartitions()
