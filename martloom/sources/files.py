@@ -47,7 +47,10 @@ def read_named_csv(spark: SparkSession, path: str | list[str], types: dict[str,
     text; a value that does not fit its type becomes NULL.
     """
     first = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    heads = first.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    lines = first.withColumn("line", F.monotonically_increasing_id()).where("at = 0")
+    # The least line number is kept in place, line by line; a text would have all lines of a block sorted by file first. A row a file is sent around, as it is to the driver.
+    tops = lines.groupBy("file").agg(F.min("line").alias("line"))
+    heads = lines.join(F.broadcast(tops), ["file", "line"]).select("file", F.col("value").alias("header"))
     groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     raw: DataFrame | None = None
     for group in sorted(groups, key=lambda g: g["header"]):

@@ -93,3 +93,15 @@ def test_day_predicates_cover_the_day_once(spark):
     hits = [seconds.where(p).count() for p in parts]
     assert hits == [21600] * 4
     assert jdbc.day_rows(seconds, "ts", "2022-10-01").count() == 86400
+
+
+def test_header_lookup_sorts_no_lines(spark, tmp_path, monkeypatch):
+    """The headers of the files are found without sorting the lines, and those of different files stay apart."""
+    for i in range(3):
+        (tmp_path / f"f{i}.csv").write_text(f"id,c{i % 2}\n" + "".join(f"{n},x{n}\n" for n in range(50)))
+    frame = type(spark.range(1))
+    plans, collect = [], frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    got = files.read_named_csv(spark, str(tmp_path), {"id": "int"})
+    assert plans and not any(" Sort [file" in p for p in plans)
+    assert sorted(got.columns) == ["c0", "c1", "id"] and got.count() == 150 and got.where("c1 is null").count() == 100
