@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from martloom.functions.keys import hash_diff, hash_key, md5_key, uuid3_key
+from martloom.functions.keys import hash_diff, hash_key, md5_key, uuid3_key, with_uuid3
 
 TEXTS = ["", "a", "заказ", "ab c", "x" * 500, "1234567890", "é́", "\U0001f600"]
 
@@ -31,6 +31,17 @@ def test_uuid3_of_null_is_null(spark):
     assert df.select(uuid3_key("a", "b").alias("k")).first()["k"] is None
 
 
+def test_keys_over_an_aggregate_compute_each_digest_once(spark):
+    texts = spark.createDataFrame([(t, "x") for t in TEXTS], "name string, other string").distinct()
+    keyed = with_uuid3(with_uuid3(texts, {"key": ["name"]}), {"both": ["key", "other"]})
+    for r in keyed.collect():
+        assert r["key"] == str(uuid.uuid3(uuid.NAMESPACE_X500, r["name"]))
+        assert r["both"] == str(uuid.uuid3(uuid.NAMESPACE_X500, r["key"] + "x"))
+    assert keyed.columns == ["name", "other", "key", "both"]
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 2
+
+
 def test_hash_diff_joins_without_separator(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc")], "a string, b string")
     plain = df.select(hash_diff("a", "b").alias("k")).distinct().count()

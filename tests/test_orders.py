@@ -171,3 +171,19 @@ def test_streamed_counters_survive_replays(spark, tmp_path):
     counters_stream(source, "product_id", "product_name", path, str(tmp_path / "cp"), ts_col="ts", trigger={"availableNow": True}).awaitTermination()
     got = rows(current_rows(spark, path, ["user_id", "product_id"]), "product_id", "product_name", "order_cnt")
     assert got == [("p", "new", 3), ("q", "q", 1)]
+
+
+def test_vault_keys_are_made_with_one_digest_each(spark):
+    for table, digests in {"l_order_product": 3, "h_order": 1, "s_user_names": 2}.items():
+        built = orders.vault_table(parsed(spark, message(1)), table, LOAD_DT, order_by=["place"])
+        assert built._jdf.queryExecution().optimizedPlan().toString().count("md5(") == digests
+
+
+def test_whole_lines_make_the_same_tables(spark):
+    messages = parsed(spark, message(1), message(2, products=[]), message(2, status="NEW", products=[]), message(3, products=[None]))
+    lines = orders.product_rows(orders.order_rows(messages, "place"), whole=True)
+    assert rows(lines.where("line is null"), "order_id") == [(2,), (2,)]
+    for table in orders.VAULT_TABLES:
+        expected = rows(orders.vault_table(messages, table, LOAD_DT, order_by=["place"]))
+        assert rows(orders.table_of_rows(lines, table, LOAD_DT, order_by=["place"])) == expected, table
+    assert rows(orders.closed_line_items(lines, "place")) == rows(orders.closed_order_items(messages, "place"))
