@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.llm.common import chunks, stored, whole_text
 
 MEMBERS_PER_TASK_GROUP = 500
+BITMAP_BITS = 1 << 25  # 4 MB
 
 
 def digest() -> Column:
@@ -18,10 +19,22 @@ def digest() -> Column:
     return F.unhex(F.md5(whole_text()))
 
 
+def perhaps_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows whose digest is wanted and few others, found by a bitmap of a fixed size that goes to all tasks."""
+    cell = F.xxhash64("digest").bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1
+    spots = wanted.select("digest").distinct().select(F.bitmap_bucket_number(cell).alias("page"), F.bitmap_bit_position(cell).alias("spot"))
+    pages = spots.repartition("page").groupBy("page").agg(F.bitmap_construct_agg("spot").alias("bits"))
+    at = F.bitmap_bit_position(cell)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.join(F.broadcast(pages), F.bitmap_bucket_number(cell) == F.col("page"))
+    return met.where(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0).select(*rows.columns)
+
+
 def distinct_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, text) once for each wanted digest; copies are combined before the shuffle."""
-    texts = docs.select(digest().alias("digest"), whole_text().alias("text"))
-    return texts.join(wanted.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    """(digest, text) once for each wanted digest; other texts are left out and copies combined before the shuffle."""
+    texts = perhaps_wanted(docs.select(digest().alias("digest"), whole_text().alias("text")), wanted)
+    # An inner join, as Spark would move a semi join below the one with the bitmap.
+    return texts.join(wanted.select("digest").distinct(), "digest").groupBy("digest").agg(F.first("text").alias("text"))
 
 
 def compare(pairs: DataFrame, texts: DataFrame, measure: Callable, result: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A shingle's weight is its count in the text times the mean inverse document frequency of its words, which are counted
 over all documents in a fixed number of hashed cells. Samples (shingle, level) of two texts agree with the probability
 of their weighted Jaccard similarity. Bands of samples give buckets; in a bucket every text is compared with one
-leader. Texts of a bucket that are still in different classes are joined on the rare shingles that any two similar
-texts share, class by class, unless what a text shares with any other weighs too little for a link.
+leader. Texts of a bucket that are still in different classes meet block by block, and pairs are compared unless their
+weights by hashed cell or their samples rule a link out.
 Only the exact weighted Jaccard similarity makes a link; linked texts form classes.
 """
 
@@ -25,6 +25,8 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 5
 CELLS = 1 << 18
+PROFILE = 256  # cells of a text's profile, a power of two
+BLOCK = 256  # texts of a bucket that are compared with as many others at a time
 CLOSE_SAMPLES = 33  # of BANDS * ROWS; at similarity 0.8 fewer agree three times in a million pairs
 
 
@@ -237,10 +239,83 @@ def sharing_pairs(entries: DataFrame, similarity: float, only: Callable[[Column,
     return met.join(x, ["shingle", "label"]).join(y, ["shingle", "label_y"]).where(close).select("x", "y").distinct()
 
 
+def profiles(texts: DataFrame, idf) -> DataFrame:
+    """(digest, profile): the weight of each text's shingles by hashed cell, rounded up to half precision."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh = Weigher(idf.value)
+        for batch in chunks(batches):
+            ids, bounds = word_table(batch.column(1).to_pylist())
+            sums = np.zeros((batch.num_rows, PROFILE))
+            for row, low, high in zip(sums, bounds[:-1], bounds[1:], strict=True):
+                shingles, w = weigh.of_words(ids[low:high])
+                row[:] = np.bincount((shingles & np.uint64(PROFILE - 1)).astype(np.int64), w, PROFILE)
+            with np.errstate(over="ignore"):  # an infinite cell bounds nothing, which is safe
+                half = (sums * (1 + 2**-10)).astype(np.float16)
+            made = [batch.column(0), pa.array([r.tobytes() for r in half], pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=["digest", "profile"])
+
+    return texts.select("digest", "text").mapInArrow(run, "digest binary, profile binary")
+
+
+def bucket_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): digests of one bucket and different labels that may reach ``similarity``, the lesser first.
+
+    ``entries`` has bucket, digest, label, weight, samples and profile. A bucket is cut into blocks, and every two blocks
+    meet as one group of bounded size, so a large bucket is spread over tasks and only pairs that pass are written. What
+    two texts share weighs at most the sum over the cells of the lesser weight: that bound rules out the most, as texts
+    made from one text differ in different cells.
+    """
+    crowd = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
+    dealt = entries.join(crowd, "bucket").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = dealt.select("bucket", low, high, "block", "digest", "label", "weight", "samples", "profile")
+    groups = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    share = similarity * 0.9999 / (1 + similarity)
+
+    def pairs(batch: pa.RecordBatch, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        block, weight = batch.column(3).to_numpy(), batch.column(6).to_numpy()
+        alone = batch.column(1).to_numpy() == batch.column(2).to_numpy()
+        label = batch.column(5).dictionary_encode().indices.to_numpy()
+        samples = batch.column(7).flatten().to_numpy().reshape(batch.num_rows, -1).view(np.uint8)[:, : BANDS * ROWS]
+        profile = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.float16).reshape(batch.num_rows, -1).astype(np.float32)
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            for i in range(start, end - 1):
+                w = weight[i + 1 : end]
+                fit = (label[i + 1 : end] != label[i]) & (np.minimum(w, weight[i]) >= similarity * 0.9999 * np.maximum(w, weight[i]))
+                at = i + 1 + np.flatnonzero(fit if alone[i] else fit & (block[i + 1 : end] != block[i]))
+                at = at[(samples[at] == samples[i]).sum(axis=1) >= CLOSE_SAMPLES]
+                at = at[np.minimum(profile[at], profile[i]).sum(axis=1) >= share * (weight[at] + weight[i])]
+                if len(at):
+                    yield i, at
+
+    def found(batch: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+        both = list(pairs(batch, bounds))
+        first = np.repeat([i for i, _ in both], [len(at) for _, at in both]).astype(np.int64)
+        second = np.concatenate([np.zeros(0, np.int64), *(at for _, at in both)])
+        digests = batch.column(4)
+        return pa.RecordBatch.from_arrays([digests.take(pa.array(first)), digests.take(pa.array(second))], names=["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            keys = np.column_stack([rest.column(i).to_numpy() for i in range(3)])
+            starts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]
+            if len(starts) > 1:  # the last group may go on in the next batch
+                yield found(rest.slice(0, starts[-1]), starts)
+                rest = rest.slice(starts[-1])
+        if rest is not None:
+            yield found(rest, np.array([0, rest.num_rows]))
+
+    met = groups.mapInArrow(run, "x binary, y binary")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity): pairs of digests whose weighted Jaccard similarity reaches ``similarity``, enough of them
-    to connect every class: pairs of a bucket that others do not connect already are compared if they share a rare
-    shingle, as all similar ones do.
+    to connect every class: pairs of a bucket that others do not connect already are compared where they can be similar.
     """
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # CELLS numbers
@@ -276,15 +351,10 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     label = F.coalesce("label", "digest").alias("label")
     placed = shared.select("bucket", "digest").join(settled, "digest", "left").select("bucket", "digest", label)
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    # Texts of one bucket in different classes: those that share a rare shingle and a bucket are compared, leaders not again.
-    mixed_rows = placed.join(mixed.select("bucket"), "bucket").join(signed.select("digest", "weight", "samples"), "digest")
-    alone = mixed_rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("label", "weight", "samples")), F.collect_set("bucket").alias("buckets"))
-    alone = stored(alone, "open-texts")
-    rare = rare_shingles(texts.join(alone.select("digest"), "digest", "left_semi"), idf, similarity)
-    facts = F.struct("weight", "samples", "buckets", (F.col("common") * F.col("weight")).alias("common")).alias("facts")
-    entries = stored(rare.join(alone, "digest").select("shingle", "digest", "short", "label", "weight", facts), "rare-shingles")
-    both = sharing_pairs(entries, similarity, likely)
-    across = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # Texts of one bucket in different classes are compared unless their weights or samples rule it out, leaders not again.
+    rows = placed.join(mixed.select("bucket"), "bucket").join(signed.select("digest", "weight", "samples"), "digest")
+    entries = stored(rows.join(profiles(texts, idf), "digest"), "open-texts")
+    across = bucket_pairs(entries, similarity)
     met_leaders = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = across.join(met_leaders, ["a", "b"], "left_anti")
     second = stored(compare(rest.withColumn("extra", F.lit(0)), texts, measure, "similarity double"), "cross-links")
