@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-from martloom.llm import links, near_dedup
+from martloom.llm import links, near_dedup, substring_dedup
+from martloom.llm.common import mix
 
 
 def edited(seed, number, words, rate):
@@ -79,3 +80,81 @@ def test_unwanted_texts_leave_before_the_shuffle(spark):
     texts = links.distinct_texts(docs.union(docs), wanted)
     assert sorted(r.text for r in texts.collect()) == sorted([f"text {i}" for i in range(0, 4000, 50)] + [""])
     assert links.distinct_texts(docs, wanted.limit(0)).count() == 0
+
+
+def sides_of(texts):
+    found = []
+    for text in texts:
+        shingles = substring_dedup.shingle_table([text], 5)[0]
+        rows = []
+        for f in range(substring_dedup.FUNCTIONS):
+            x = mix(shingles, 100 + f) | np.uint64(1)
+            rows += [(int(x[c].view(np.int64)), c * substring_dedup.FUNCTIONS + f, lo << 32 | hi) for lo, c, hi in substring_dedup.compact_windows(x, 46)]
+        found.append(substring_dedup.Side({"text": text, **dict(zip(("minimum", "place", "span"), zip(*rows, strict=True), strict=True))}))
+    return found
+
+
+def test_promising_texts_lose_no_passage(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LOOKS", 500)
+    rng = np.random.default_rng(4)
+    texts = []
+    for i in range(40):
+        own = [f"t{i}w{j}" for j in range(rng.integers(60, 200))]
+        shared = [f"s{j}" for j in range(90)]
+        for at in rng.choice(90, rng.integers(0, 4), replace=False):
+            shared[at] = f"e{i}x{at}"
+        texts.append(" ".join(own[:30] + shared[: 90 if i % 2 else 40] + own[30:]))
+    sides = sides_of(texts)
+    verify = substring_dedup.verifier(0.8, 50, 2)
+    passed = met = 0
+    for i, a in enumerate(sides[:-1]):
+        others = sides[i + 1 :]
+        for b, likely in zip(others, substring_dedup.promising(a, others, 0.8, 46), strict=True):
+            found = list(verify(a, b))
+            assert likely or not found
+            passed, met = passed + likely, met + bool(found)
+    assert met > 50 and passed < 500  # of 780 pairs
+
+
+def test_near_windows_look_to_one_side(monkeypatch):
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(substring_dedup, "LOOKS", 50)
+    for n in (60, 400):
+        x, rows = rng.integers(0, n // 3, n).astype(np.uint64), []
+        for f in range(4):
+            h = mix(x, 100 + f)
+            rows += [(int(h[c].view(np.int64)), f, c, lo, hi) for lo, c, hi in substring_dedup.compact_windows(h, 10)]
+        rows.sort(key=lambda r: r[2] * 4 + r[1])
+        parts = substring_dedup.near_windows(tuple(np.array(c) for c in zip(*rows, strict=True)), 10)
+        got = {(min(p), max(p)) for one, other in parts for p in zip(one.tolist(), other.tolist(), strict=True)}
+        want = {
+            (i, j) for i, (_, f, c, lo, hi) in enumerate(rows) for j, (_, g, d, low, high) in enumerate(rows)
+            if i < j and f != g and low <= c <= high and lo <= d <= hi and min(hi, high) - max(lo, low) + 1 >= 10
+        }
+        assert got == want and want
+
+
+def test_open_pairs_are_found_on_both_ways(spark, monkeypatch):
+    """Small and crowded groups name the same texts, and few shingles are written for small ones."""
+    rng = np.random.default_rng(8)
+    frequent = [f"f{j}" for j in range(60)]
+    rows = []
+    for i in range(24):  # a passage that all have, and one that pairs of texts have beside it
+        pair = [f"p{i // 2}w{j}" for j in range(120)]
+        rows.append((i, " ".join([f"a{i}x{j}" for j in range(int(rng.integers(5, 30)))] + frequent[: 30 + i % 3] + pair)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    written = []
+    kept = substring_dedup.window_shingles
+
+    def counted(*given):
+        made = kept(*given)
+        written.append(made.count())
+        return made
+
+    monkeypatch.setattr(substring_dedup, "window_shingles", counted)
+    columns = ["doc_id", "start_word", "end_word", "n_words", "class_id", "n_links"]
+    small = substring_dedup.repeated_passages(docs).select(*columns).collect()
+    monkeypatch.setattr(substring_dedup, "CROWD", 2)
+    crowded = substring_dedup.repeated_passages(docs).select(*columns).collect()
+    assert sorted(small) == sorted(crowded) and {r.doc_id for r in small} == set(range(24))
+    assert written[0] == 0 and written[1] > 0
