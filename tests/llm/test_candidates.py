@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 
 from martloom.llm import links, near_dedup, substring_dedup
@@ -158,3 +160,34 @@ def test_open_pairs_are_found_on_both_ways(spark, monkeypatch):
     crowded = substring_dedup.repeated_passages(docs).select(*columns).collect()
     assert sorted(small) == sorted(crowded) and {r.doc_id for r in small} == set(range(24))
     assert written[0] == 0 and written[1] > 0
+
+
+def test_passages_are_found_part_by_part_and_little_is_left_on_disk(spark, monkeypatch):
+    """Texts sent in many parts give the same rows; tables that are read for the last time and shuffles are deleted."""
+    rng = np.random.default_rng(9)
+    frequent = [f"f{j}" for j in range(60)]
+    texts = [" ".join([f"a{i}x{j}" for j in range(int(rng.integers(5, 30)))] + frequent[: 30 + i % 3] + [f"p{i // 3}w{j}" for j in range(120)]) for i in range(24)]
+    docs = frame_of(spark, texts)
+    folder, freed, parts = Path(spark.conf.get("spark.checkpoint.dir")), [], []
+    stored = substring_dedup.stored
+
+    def noted(frame, name, **rest):
+        freed.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        parts.append(name)
+        return stored(frame, name, **rest)
+
+    monkeypatch.setattr(substring_dedup, "stored", noted)
+    monkeypatch.setattr(links, "stored", noted)
+    for crowd in (256, 2):
+        monkeypatch.setattr(substring_dedup, "CROWD", crowd)
+        earlier = {p.name for p in folder.iterdir()}
+        whole = sorted(substring_dedup.repeated_passages(docs).collect())
+        left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in earlier}
+        assert not left & {"groups", "text-windows", "passage-texts", "placed-windows", "window-shingles"}
+        assert set(freed) == {"true"} and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+        parts.clear()
+        with monkeypatch.context() as many:
+            many.setattr(substring_dedup, "slices_of", lambda *_: 3)
+            many.setattr(substring_dedup, "SHINGLE_BYTES", substring_dedup.LEAST_PART // 1000)
+            assert sorted(substring_dedup.repeated_passages(docs).collect()) == whole and len(whole) >= 24
+        assert parts.count("compared") >= 6 and (crowd == 256 or parts.count("rare-window-shingles") > 1)
