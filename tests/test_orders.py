@@ -187,3 +187,18 @@ def test_whole_lines_make_the_same_tables(spark):
         expected = rows(orders.vault_table(messages, table, LOAD_DT, order_by=["place"]))
         assert rows(orders.table_of_rows(lines, table, LOAD_DT, order_by=["place"])) == expected, table
     assert rows(orders.closed_line_items(lines, "place")) == rows(orders.closed_order_items(messages, "place"))
+
+
+def test_a_streamed_vault_leaves_no_batch_lines_and_packed_tables(spark, tmp_path):
+    source = stream_of(spark, str(tmp_path / "in"), [raw(spark, message(1)), raw(spark, message(2))])
+    root, freed = tmp_path / "vault", []
+
+    def topic(batch, batch_id):
+        freed.append(batch.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        assert batch.count() == 3 and any((root / "batch-lines").glob("*.zstd.parquet"))
+
+    job = dict(message_id=F.col("place").cast("string"), order_by=["place"], trigger={"availableNow": True})
+    vault_stream(source, str(root), str(tmp_path / "checkpoint"), to_topic=topic, **job).awaitTermination()
+    assert freed == ["true", "true"] and {p.name for p in root.iterdir()} == set(orders.VAULT_TABLES)
+    files = list(root.rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
